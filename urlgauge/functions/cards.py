@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .. import constants as K
 from . import urls
+from .numbers import exact_round, fixed_text
 
 CARD_TYPE = "array<struct<title:string,flagged:boolean,detail:string>>"
 
@@ -17,11 +18,11 @@ def sigmoid(log_odds: Column) -> Column:
 
 
 def trust_score(probability: Column) -> Column:
-    return F.round((1 - probability) * 100, 1)
+    return exact_round((1 - probability) * 100, 1)
 
 
 def risk_percent(probability: Column) -> Column:
-    return F.round(probability * 100, 1)
+    return exact_round(probability * 100, 1)
 
 
 def prediction(probability: Column) -> Column:
@@ -78,8 +79,8 @@ def indicators() -> Column:
         _card("Punycode hostname", puny, F.when(puny, "Encoded hostname detected")
               .otherwise("Not detected")),
         _card("Look-alike character heuristic", ratio > K.THRESHOLDS["homoglyph_char_ratio"],
-              F.concat(F.format_string("%.1f%%", ratio * 100),
-                       F.lit(" of hostname characters; cutoff is over 35%"))),
+              F.concat(fixed_text(ratio * 100, 1),
+                       F.lit("% of hostname characters; cutoff is over 35%"))),
     )
 
 
@@ -109,7 +110,7 @@ def display_value(feature: str) -> Column:
     if feature in K.FLAG_FEATURES:
         return F.when(value != 0, "Yes").otherwise("No")
     if feature in K.DOUBLE_FEATURES:
-        return F.format_string("%.4f", value)
+        return fixed_text(value, 4)
     return value.cast("string")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from . import chars, hosts, urls
+from .numbers import exact_round
 
 
 def entropy(text: Column) -> Column:
@@ -75,7 +76,7 @@ def from_parts(url: Column, prefix: str = "_") -> dict[str, Column]:
         "hyphen_count": urls.count_char(url, "-"),
         "dot_count": urls.count_char(url, "."),
         "slash_count": urls.count_char(url, "/"),
-        "entropy": F.round(entropy(url), 4),
+        "entropy": exact_round(F.col(prefix + "bits"), 4),
         "has_ip_address": _flag(ip),
         "subdomain_count": F.when(ip, 0).when(
             ~ip, F.greatest(urls.count_char(host, ".") - 1, F.lit(0))),
@@ -115,6 +116,7 @@ def with_features(df: DataFrame, url: str = "url", keep_parts: bool = False) ->
         "_tld": hosts.tld(F.col("_host")),
         "_is_ip": hosts.is_ip(F.col("_host")),
         "_digits": digit_count(F.col("_u")),
+        "_bits": entropy(F.col("_u")),
     })
     columns = from_parts(F.col("_u"))
     extra = [F.col("_host").alias("host")] if keep_parts else []

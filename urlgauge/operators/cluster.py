@@ -93,7 +93,7 @@ def profile(df: DataFrame, names: list[str] | None = None) -> DataFrame:
                  F.min(F.col(n).cast("double")).alias("low"),
                  F.max(F.col(n).cast("double")).alias("high")).alias(f"_{i}")
         for i, n in enumerate(names)])
-    tall = moments.select("cluster", F.inline(F.array(*[F.col(f"_{i}") for i in range(len(names))])))
+    tall = moments.select("cluster", F.inline_outer(F.array(*[F.col(f"_{i}") for i in range(len(names))])))
     n, mean, var = F.col("n"), F.col("mean"), F.col("var")
     overall = tall.groupBy("feature").agg((F.sum(n * mean) / F.sum(n)).alias("overall_class_mean"))
     # Within plus between variance keeps the deviation accurate for large means.
@@ -114,7 +114,7 @@ def profile(df: DataFrame, names: list[str] | None = None) -> DataFrame:
         "overall_class_mean", "standardized_difference", "direction")))
     # A cluster has one entry per feature, so the list is as short as the feature list.
     lists = rows.groupBy("cluster").agg(ranked.alias("_l"))
-    return lists.select("cluster", F.posexplode("_l").alias("_p", "r")).select(
+    return lists.select("cluster", F.posexplode_outer("_l").alias("_p", "r")).select(
         "cluster", "r.feature", (F.col("_p") + 1).alias("rank"), "r.cluster_mean",
         "r.overall_class_mean", "r.standardized_difference", "r.direction")
 

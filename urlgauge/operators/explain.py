@@ -159,7 +159,7 @@ def term_importance(df: DataFrame, model: Additive) -> DataFrame:
                        for i in range(len(model.terms))])
     pairs = F.array(*[F.struct(F.lit(model.name(i)).alias("term"), F.col(f"m_{i}").alias("importance"))
                       for i in range(len(model.terms))])
-    return means.select(F.inline(pairs)).orderBy(F.col("importance").desc(), "term")
+    return means.select(F.inline_outer(pairs)).orderBy(F.col("importance").desc(), "term")
 
 
 def explained(df: DataFrame, model: Additive) -> DataFrame:
@@ -194,7 +194,7 @@ def explained(df: DataFrame, model: Additive) -> DataFrame:
 def contributions(df: DataFrame, model: Additive, keep: list[str]) -> DataFrame:
     """One row per (example, term), ranked by absolute contribution."""
     rows = explained(df, model).select(
-        *keep, "base_log_odds", F.posexplode("contributions").alias("_p", "e"))
+        *keep, "base_log_odds", F.posexplode_outer("contributions").alias("_p", "e"))
     return rows.select(
         *keep, F.col("e.term").alias("term"), (F.col("_p") + 1).alias("absolute_contribution_rank"),
         F.col("e.contribution").alias("contribution_log_odds"), "base_log_odds",

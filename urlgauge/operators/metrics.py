@@ -121,7 +121,7 @@ def subgroup_metrics(scored: DataFrame, flag: str = "uses_https", variant: str =
             F.count_if(here & y & ~p).alias("fn"), F.count_if(here & y & p).alias("tp"))
 
     both = scored.groupBy(variant).agg(F.array(counted(0), counted(1)).alias("g"))
-    rows = both.select(variant, F.inline("g"))
+    rows = both.select(variant, F.inline_outer("g"))
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     return rows.select(
         variant, flag, "rows", (tn + fp).alias("label_0_rows"), (tp + fn).alias("label_1_rows"),
@@ -177,6 +177,6 @@ def class_weights(train: DataFrame) -> dict[int, float]:
 def class_weight_table(train: DataFrame) -> DataFrame:
     counts = train.agg(F.count("*").alias("n"), F.count_if(F.col("label") == 0).alias("n0"),
                        F.count_if(F.col("label") == 1).alias("n1"))
-    return counts.select(F.inline(F.array(
+    return counts.select(F.inline_outer(F.array(
         F.struct(F.lit(0).alias("label"), (F.col("n") / (2 * F.col("n0"))).alias("weight")),
         F.struct(F.lit(1).alias("label"), (F.col("n") / (2 * F.col("n1"))).alias("weight")))))
