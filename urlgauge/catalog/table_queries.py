@@ -15,6 +15,11 @@ from .registry import query
 LARGER, SMALLER = registry.SOURCES["larger"], registry.SOURCES["smaller"]
 
 
+def inspected(spark, sf_dir):
+    return I.held(spark, sf_dir, "inspected", lambda s, d: ordered.cut(
+        prepare.inspected(I.raw(s, d), LARGER)))
+
+
 def routes(spark, sf_dir):
     return prepare.routed(I.raw(spark, sf_dir), LARGER)
 
@@ -23,6 +28,13 @@ def edge_routes(spark, sf_dir):
     return prepare.routed(I.raw_edges(spark, sf_dir), LARGER)
 
 
+def outputs(spark, sf_dir, name, make):
+    """The four outputs of a preparation run, from routed and featured rows kept on disk."""
+    found = I.held(spark, sf_dir, name, lambda s, d: ordered.cut(make(s, d)))
+    scored = I.held(spark, sf_dir, name + "_featured", lambda s, d: ordered.cut(prepare.featured(found)))
+    return prepare.split_routes(found, scored, "larger")
+
+
 def labelled_groups(spark, sf_dir):
     """The URL list with label, group, split and row number, shared by several queries."""
     def make(spark, sf_dir):
@@ -80,14 +92,14 @@ def d02(spark, sf_dir):
 
 @query("d03_conflicting_rows", S.with_(S.prepared(), "select source_row, url from routes where route = 'conflict'"))
 def d03(spark, sf_dir):
-    rows = prepare.inspected(I.raw(spark, sf_dir), LARGER)
+    rows = inspected(spark, sf_dir)
     return rows.join(prepare.conflicting_keys(rows), "url_key", "left_semi").select("source_row", "url")
 
 
 @query("d04_eligible_rows", S.with_(S.prepared(), """
  select source_row, url from routes where route in ('kept', 'duplicate')"""))
 def d04(spark, sf_dir):
-    rows = prepare.inspected(I.raw(spark, sf_dir), LARGER)
+    rows = inspected(spark, sf_dir)
     valid = rows.where("reason = ''")
     return valid.join(prepare.conflicting_keys(rows), "url_key", "left_anti").select("source_row", "url")
 
@@ -230,7 +242,7 @@ def e01(spark, sf_dir):
 
 @query("e02_conflicting_keys", S.with_(S.prepared(), "select url_key from keys where labels > 1"))
 def e02(spark, sf_dir):
-    return prepare.conflicting_keys(prepare.inspected(I.raw(spark, sf_dir), LARGER))
+    return prepare.conflicting_keys(inspected(spark, sf_dir))
 
 
 @query("e03_keep_first", S.with_(S.prepared(), "select source_row, url, label from routes where route = 'kept'"))
@@ -241,13 +253,13 @@ def e03(spark, sf_dir):
 @query("e04_category_sets", S.with_(S.prepared(), """
  select url_key, categories from keys where records > 1"""))
 def e04(spark, sf_dir):
-    return prepare.repeated_keys(prepare.inspected(I.raw(spark, sf_dir), LARGER), LARGER).select(
+    return prepare.repeated_keys(inspected(spark, sf_dir), LARGER).select(
         "url_key", "categories")
 
 
 @query("e05_records_per_key", S.with_(S.prepared(), "select url_key, records from keys where records > 1"))
 def e05(spark, sf_dir):
-    return prepare.repeated_keys(prepare.inspected(I.raw(spark, sf_dir), LARGER), LARGER).select(
+    return prepare.repeated_keys(inspected(spark, sf_dir), LARGER).select(
         "url_key", "records")
 
 
@@ -468,16 +480,14 @@ def f02(spark, sf_dir):
  select d.source_row, d.url, d.original_label, d.original_category, d.label, k.retained_row_number
  from routes d left join kept k on d.first_row = k.source_row where d.route = 'duplicate'"""))
 def f03(spark, sf_dir):
-    found = I.held(spark, sf_dir, "routes", lambda s, d: ordered.cut(routes(s, d)))
-    return prepare.split_routes(found, prepare.featured(found), "larger").duplicates
+    return outputs(spark, sf_dir, "routes", routes).duplicates
 
 
 @query("f03_metadata", S.with_(S.prepared(), """
  select row_number() over (order by source_row) as row_number, 'larger' as dataset, source_row, url_key, hostname,
  original_label, categories as original_categories, records as source_record_count from routes where route = 'kept'"""))
 def f03_metadata(spark, sf_dir):
-    found = I.held(spark, sf_dir, "routes", lambda s, d: ordered.cut(routes(s, d)))
-    return prepare.split_routes(found, prepare.featured(found), "larger").metadata
+    return outputs(spark, sf_dir, "routes", routes).metadata
 
 
 @query("f03_excluded", S.with_(S.prepared(I.EDGE_V), """
@@ -485,8 +495,7 @@ def f03_metadata(spark, sf_dir):
  case when route = 'conflict' then 'conflicting_binary_labels' else reason end as reason
  from routes where route in ('invalid', 'conflict')"""))
 def f03_excluded(spark, sf_dir):
-    found = I.held(spark, sf_dir, "edge_routes", lambda s, d: ordered.cut(edge_routes(s, d)))
-    return prepare.split_routes(found, prepare.featured(found), "larger").excluded
+    return outputs(spark, sf_dir, "edge_routes", edge_routes).excluded
 
 
 @query("f04_top_features", S.with_(PROFILE, """

@@ -49,8 +49,11 @@ def a02(spark, sf_dir):
  0::bigint as not_finite, count_if(least({', '.join(K.COUNT_FEATURES)}) < 0)::bigint as negative,
  count_if(label = 0)::bigint as label_0_rows, count_if(label = 1)::bigint as label_1_rows from feats2"""))
 def a03(spark, sf_dir):
+    from ..plans import scratch
+    path = scratch.folder(spark, "a03")
     kept = prepare.routed(I.raw(spark, sf_dir), LARGER).where("route = 'kept'")
-    return tables.contract(features.with_features(kept.select("url", "label")))
+    features.with_features(kept.select("url", "label")).write.parquet(path)
+    return tables.contract(tables.read_features(spark, path, check=False))
 
 
 @query("a04_partition_read", S.with_(S.PAGES, S.parse(), S.grouped(), """
@@ -260,13 +263,13 @@ def b17(spark, sf_dir):
         "event_id", F.round(cards.sigmoid((F.col("value") - 50) / 10), 9).alias("probability"))
 
 
-@query("b18_scores", S.with_(S.src(f"select event_id, least(greatest(round(value / 100, 3), 0), 1) as p from events"), """
+@query("b18_scores", S.with_(S.src(f"select event_id, least(greatest(value / 100, 0), 1) as p from events"), """
  select event_id, printf('%.1f', (1 - p) * 100)::double as trust_score, printf('%.1f', p * 100)::double as risk_percent,
  cast(p >= 0.5 as int) as prediction, round(greatest(p, 1 - p) * 100, 6) as confidence from src"""))
 def b18(spark, sf_dir):
     p = F.col("p")
     rows = I.table(spark, sf_dir, "events").select("event_id", F.least(
-        F.greatest(F.round(F.col("value") / 100, 3), F.lit(0.0)), F.lit(1.0)).alias("p"))
+        F.greatest(F.col("value") / 100, F.lit(0.0)), F.lit(1.0)).alias("p"))
     return rows.select("event_id", cards.trust_score(p).alias("trust_score"),
                        cards.risk_percent(p).alias("risk_percent"), cards.prediction(p).alias("prediction"),
                        F.round(cards.confidence(p), 6).alias("confidence"))
@@ -369,8 +372,9 @@ parts as (select g.url, g.l, g.r, (select string_agg(label, '; ' order by o) fro
  from parts join placed on parts.url = placed.url"""))
 def b23(spark, sf_dir):
     rows = featured(spark, sf_dir).withColumn("u", urls.strip(F.col("url")))
-    parts = rows.select("url", F.posexplode_outer(cards.highlight(F.col("u"))).alias("n", "p"), "u",
-                        F.transform(cards.highlight(F.col("u")), lambda x: F.length(x["text"])).alias("sizes"))
+    parts = cards.with_highlight(rows, "u", "parts").select("url", "parts").select(
+        "url", F.transform("parts", lambda p: F.length(p["text"])).alias("sizes"),
+        F.posexplode_outer("parts").alias("n", "p"))
     start = F.aggregate(F.slice("sizes", F.lit(1), F.col("n")), F.lit(0), lambda a, x: a + x)
     return parts.select("url", start.alias("position"), "p.text", "p.highlighted", "p.label")
 

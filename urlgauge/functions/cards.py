@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from . import urls
@@ -136,75 +136,69 @@ def reasons(importances: dict[str, float], top_n: int = 5) -> Column:
     return F.transform(F.filter(ranked, lambda r: r["text"].isNotNull()), lambda r: r["text"])
 
 
-def highlight(url: Column) -> Column:
-    """Non-overlapping parts of the URL with the labels that cover them.
+_SPANS = "array<struct<l:int,r:int,label:string>>"
 
-    Expects the feature columns beside `url`. Positions are 0-based and half-open;
-    an offset list per kind of indicator becomes spans, the span ends become
-    boundaries, and each gap between boundaries collects the labels covering it.
+
+def with_highlight(df: DataFrame, url: str = "url", name: str = "url_parts") -> DataFrame:
+    """Add the non-overlapping parts of a trimmed URL with the labels that cover them.
+
+    Expects the feature columns. Positions are 0-based and half-open: indicators
+    become spans, span ends become boundaries, and each gap between boundaries
+    collects the labels of the spans containing it. Each step is its own
+    projection because a lambda re-evaluates everything it captures.
     """
-    lead = F.length(F.regexp_extract(url, urls._LEAD, 0))
-    netloc = urls.part(url, "netloc")
-    hostport = F.substring_index(netloc, "@", -1)
-    host = (F.when(hostport.startswith("["), F.regexp_extract(hostport, r"^[^\]]*\]", 0))
-            .otherwise(F.substring_index(hostport, ":", 1)))
-    start = lead + F.length(netloc) - F.length(hostport)
-    stop = start + F.length(host)
+    own, u = df.columns, F.col(url)
+    hostport = F.substring_index(urls.part(u, "netloc"), "@", -1)
+    before = F.length(F.regexp_extract(u, urls.LEAD + "[^/?#]*", 0)) - F.length(hostport)
+    df = df.withColumns({"_hp": hostport, "_l": before})
+    df = df.withColumn("_h", F.when(
+        F.startswith("_hp", F.lit("[")), F.regexp_extract("_hp", r"^[^\]]*\]", 0)).otherwise(
+        F.substring_index("_hp", ":", 1)))
+    df = df.withColumns({"_r": F.col("_l") + F.length("_h"), "_labels": F.split("_h", r"\."),
+                         "_letters": F.split("_h", "")})
+    host, start, stop = F.col("_h"), F.col("_l"), F.col("_r")
 
     def span(left, right, label):
         return F.struct(left.cast("int").alias("l"), right.cast("int").alias("r"),
                         F.lit(label).alias("label"))
 
-    def one(condition, left, right, label):
-        return F.when(condition, F.array(span(left, right, label))).otherwise(F.array().cast(
-            "array<struct<l:int,r:int,label:string>>"))
-
-    tld = F.substring_index(host, ".", -1)
-    kept = F.substring_index(host, ".", -2)
-    labels = F.split(host, r"\.")
-    before = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: start + F.length(
-        F.array_join(F.slice(labels, F.lit(1), i - 1), ".")) + F.when(i > 1, 1).otherwise(0))
-    puny = F.filter(
-        F.zip_with(labels, before, lambda text, at: F.when(
-            F.contains(F.lower(text), F.lit("xn--")),
-            span(at, at + F.length(text), "Punycode hostname"))),
-        lambda s: s.isNotNull())
-    letters = F.split(host, "")
-    alike = F.filter(
-        F.transform(letters, lambda ch, i: F.when(
-            F.lower(ch).isin(list(K.LOOKALIKE_CHARS)) & (host != ""),
-            span(start + i, start + i + 1, "Look-alike character heuristic"))),
-        lambda s: s.isNotNull())
-    no_span = F.array().cast("array<struct<l:int,r:int,label:string>>")
-    depth = _c("subdomain_count") >= K.THRESHOLDS["subdomain_count"]
+    def when(condition, spans):
+        return F.when(condition, spans).otherwise(F.array().cast(_SPANS))
+
+    label_starts = F.transform("_labels", lambda text, i: start + F.length(
+        F.array_join(F.slice("_labels", F.lit(1), i), ".")) + F.when(i > 0, 1).otherwise(0))
+    coded = F.zip_with("_labels", label_starts, lambda text, at: F.when(
+        F.contains(F.lower(text), F.lit("xn--")), span(at, at + F.length(text), "Punycode hostname")))
+    alike = F.transform("_letters", lambda ch, i: F.when(
+        F.lower(ch).isin(list(K.LOOKALIKE_CHARS)),
+        span(start + i, start + i + 1, "Look-alike character heuristic")))
+    shown = F.length(F.substring_index(host, ".", -2)) + 1
     cutoff = K.THRESHOLDS["url_length"]
-    spans = F.flatten(F.array(
-        one(_c("has_ip_address") == 1, start, stop, "IP address host"),
-        one((_c("is_suspicious_tld") == 1) & F.contains(host, F.lit(".")),
-            stop - F.length(tld), stop, "TLD watchlist"),
-        one(depth, start, F.greatest(start, stop - F.length(kept) - 1), "Subdomain count heuristic"),
-        F.when(_c("has_punycode") == 1, puny).otherwise(no_span),
-        F.when(_c("homoglyph_char_ratio") > K.THRESHOLDS["homoglyph_char_ratio"], alike)
-        .otherwise(no_span),
-        one(_c("url_length") > cutoff, F.lit(cutoff), F.length(url),
-            "URL extends beyond 60 characters"),
-    ))
-    ends = F.array_distinct(F.flatten(F.array(
-        F.array(F.lit(0), F.length(url)),
-        F.transform(spans, lambda s: s["l"]), F.transform(spans, lambda s: s["r"]))))
-    points = F.sort_array(ends)
-
-    def piece(left, right):
-        over = F.transform(F.filter(spans, lambda s: (s["l"] <= left) & (right <= s["r"])),
-                           lambda s: s["label"])
-        names = F.array_distinct(over)
-        return F.struct(
-            F.substring(url, left + 1, right - left).alias("text"),
-            (F.size(names) > 0).alias("highlighted"),
-            F.array_join(names, "; ").alias("label"))
-
-    return F.zip_with(F.slice(points, F.lit(1), F.size(points) - 1),
-                      F.slice(points, F.lit(2), F.size(points) - 1), piece)
+    df = df.withColumn("_spans", F.array_compact(F.flatten(F.array(
+        when(_c("has_ip_address") == 1, F.array(span(start, stop, "IP address host"))),
+        when((_c("is_suspicious_tld") == 1) & F.contains(host, F.lit(".")), F.array(
+            span(stop - F.length(F.substring_index(host, ".", -1)), stop, "TLD watchlist"))),
+        when(_c("subdomain_count") >= K.THRESHOLDS["subdomain_count"], F.array(
+            span(start, F.greatest(start, stop - shown), "Subdomain count heuristic"))),
+        when(_c("has_punycode") == 1, coded),
+        when(_c("homoglyph_char_ratio") > K.THRESHOLDS["homoglyph_char_ratio"], alike),
+        when(_c("url_length") > cutoff, F.array(
+            span(F.lit(cutoff), F.length(u), "URL extends beyond 60 characters")))))))
+    df = df.withColumn("_points", F.sort_array(F.array_distinct(F.flatten(F.array(
+        F.array(F.lit(0), F.length(u)),
+        F.transform("_spans", lambda s: s["l"]), F.transform("_spans", lambda s: s["r"]))))))
+    gaps = F.size("_points") - 1
+    df = df.withColumn("_gaps", F.arrays_zip(
+        F.slice("_points", F.lit(1), gaps).alias("l"), F.slice("_points", F.lit(2), gaps).alias("r")))
+    df = df.withColumn("_covered", F.transform("_gaps", lambda g: F.struct(
+        g["l"].alias("l"), g["r"].alias("r"), F.array_distinct(F.transform(
+            F.filter("_spans", lambda s: (s["l"] <= g["l"]) & (g["r"] <= s["r"])),
+            lambda s: s["label"])).alias("labels"))))
+    parts = F.transform("_covered", lambda c: F.struct(
+        F.substring(u, c["l"] + 1, c["r"] - c["l"]).alias("text"),
+        (F.size(c["labels"]) > 0).alias("highlighted"),
+        F.array_join(c["labels"], "; ").alias("label")))
+    return df.select(*own, parts.alias(name))
 
 
 def day_label(ts: Column) -> Column:

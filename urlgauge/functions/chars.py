@@ -46,4 +46,5 @@ def digit_class() -> str:
 def delimiter_lookalike_class() -> str:
     """Characters that turn into a URL delimiter under NFKC; illegal in an authority."""
     return _class(_ranges(
-        lambda c: c > "\x7f" and set(unicodedata.normalize("NFKC", c)) & set("/?#@:")))
+        lambda c: unicodedata.decomposition(c)
+        and set(unicodedata.normalize("NFKC", c)) & set("/?#@:")))

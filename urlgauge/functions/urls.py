@@ -12,22 +12,22 @@ from .. import constants as K
 from . import chars
 
 SCHEME_PATTERN = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
-_LEAD = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?"
+LEAD = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?"
 _USER = r"(?:[^/?#]*@)?"
 PART_PATTERNS = {
-    "netloc": _LEAD + r"([^/?#]*)",
-    "hostport": _LEAD + _USER + r"([^/?#]*)",
+    "netloc": LEAD + r"([^/?#]*)",
+    "hostport": LEAD + _USER + r"([^/?#]*)",
     # After an opening bracket the host runs to the closing one, else to the colon.
-    "host": _LEAD + _USER + r"(?:[^/?#\[]*\[)?((?<=\[)[^/?#\]]*|[^/?#:]*)",
-    "port_text": _LEAD + _USER + r"(?:[^/?#\[]*\[[^/?#\]]*\]?|)[^/?#:]*:?([^/?#]*)",
-    "path": _LEAD + r"[^/?#]*([^?#]*)",
+    "host": LEAD + _USER + r"(?:[^/?#\[]*\[)?((?<=\[)[^/?#\]]*|[^/?#:]*)",
+    "port_text": LEAD + _USER + r"(?:[^/?#\[]*\[[^/?#\]]*\]?|)[^/?#:]*:?([^/?#]*)",
+    "path": LEAD + r"[^/?#]*([^?#]*)",
     "query": r"^[^?#]*\?([^#]*)",
     "fragment": r"(?s)^[^#]*#(.*)$",
 }
 # 0 to 65535 with any number of leading zeros.
 PORT_PATTERN = ("^0*(?:[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}"
                 "|655[0-2][0-9]|6553[0-5])$")
-EXOTIC_AUTHORITY = _LEAD + r"[^/?#]*[%\[\x{80}-\x{10ffff}]"
+EXOTIC_AUTHORITY = LEAD + r"[^/?#]*[%\[\x{80}-\x{10ffff}]"
 
 
 def strip(url: Column) -> Column:
@@ -81,9 +81,7 @@ def with_parts(df: DataFrame, url: str = "url", prefix: str = "_") -> DataFrame:
     return df.withColumns({prefix + k: v for k, v in parts.items()})
 
 
-def bad_authority(prefix: str = "_") -> Column:
-    """Unbalanced brackets, an unusable port, or a disguised delimiter."""
-    netloc, port = F.col(prefix + "netloc"), F.col(prefix + "port_text")
+def _bad_authority(netloc: Column, port: Column) -> Column:
     opens, closes = F.contains(netloc, F.lit("[")), F.contains(netloc, F.lit("]"))
     bad_port = (port != "") & ~port.rlike(PORT_PATTERN)
     disguised = (F.length(netloc) != F.octet_length(netloc)) & netloc.rlike(
@@ -91,6 +89,16 @@ def bad_authority(prefix: str = "_") -> Column:
     return (opens != closes) | bad_port | disguised
 
 
+def bad_authority(prefix: str = "_") -> Column:
+    """Unbalanced brackets, an unusable port, or a disguised delimiter."""
+    return _bad_authority(F.col(prefix + "netloc"), F.col(prefix + "port_text"))
+
+
+def usable(url: Column) -> Column:
+    """A trimmed URL with a host and a sound authority; small enough for a filter."""
+    return (part(url, "host") != "") & ~_bad_authority(part(url, "netloc"), part(url, "port_text"))
+
+
 def reject_reason(url: str = "url", prefix: str = "_") -> Column:
     """'' for usable URLs, else the first reason that applies. Needs `with_parts`."""
     host = F.col(prefix + "host")

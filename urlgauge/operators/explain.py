@@ -41,7 +41,7 @@ def node_table(model: models.Fitted, folder: str, spark) -> DataFrame:
         F.col("treeID").alias("tree"), F.col("id").alias("node"), "prediction", "gain",
         F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
         F.col("split.featureIndex").alias("feature"),
-        F.col("split.leftCategoriesOrThreshold")[0].alias("threshold"), weight.alias("weight"))
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"), weight.alias("weight"))
 
 
 def shapes(nodes: DataFrame, names: list[str]) -> Additive:
@@ -216,6 +216,7 @@ def score_urls(df: DataFrame, model: Additive, url: str = "url", model_name: str
     checked = urls.validate(df, url, request_limit=request_limit)
     trimmed = checked.withColumn("_given", urls.strip(F.col(url)))
     rows = explained(features.with_features(trimmed, "_given"), model)
+    rows = cards.with_highlight(rows, "_given", "_parts")
     p = F.when(F.col("valid"), F.col("probability"))
     ok = F.col("valid")
     top = F.slice("contributions", 1, 6)
@@ -235,16 +236,93 @@ def score_urls(df: DataFrame, model: Additive, url: str = "url", model_name: str
         F.when(ok, F.col("contributions")).alias("model_contributions"),
         "base_log_odds", F.when(ok, F.col("total_log_odds")).alias("total_log_odds"),
         F.when(ok, raw).alias("raw_features"), F.when(ok, cards.indicators()).alias("indicators"),
-        F.when(ok, cards.highlight(F.col("_given"))).alias("url_parts"))
+        F.when(ok, F.col("_parts")).alias("url_parts"))
 
 
 def score_urls_older(df: DataFrame, forest: models.Fitted, url: str = "url") -> DataFrame:
     """The older record: forest score, three-way status, four cards, worded reasons."""
     weights = dict(models.importances(forest))
-    rows = features.with_features(df, url).where(features.finite())
+    rows = features.with_features(df.where(urls.usable(urls.strip(F.col(url)))), url)
     scored = forest.pipeline.transform(rows).withColumn("_p", models.vector_to_array("probability")[1])
     trust = cards.trust_score(F.col("_p"))
     return scored.select(
         *df.columns, trust.alias("trust_score"), F.round("_p", 4).alias("phishing_probability"),
         cards.risk_percent(F.col("_p")).alias("risk_percent"), cards.status3(trust).alias("status"),
         cards.signal_cards().alias("cards"), cards.reasons(weights).alias("top_signals"))
+
+
+def tree_contributions(df: DataFrame, fitted: models.Fitted, keep: list[str], folder: str) -> DataFrame:
+    """Path-dependent contributions of boosted trees for a few selected rows, long form.
+
+    The trees travel as one small array table; tasks work on their own rows. Each
+    feature's share is its Shapley value over the game in which an unknown split is
+    averaged by the children's training weights. Only features on a tree's paths
+    matter, and a tree of depth d has at most d of them on any path.
+    """
+    spark = df.sparkSession
+    fitted.pipeline.stages[-1].write().overwrite().save(folder)
+    weights = [float(w) for w in fitted.pipeline.stages[-1].treeWeights]
+    trees: dict[int, dict] = {}
+    for r in spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*").collect():
+        split = r["split"]
+        trees.setdefault(r["treeID"], {})[r["id"]] = (
+            r["leftChild"], r["rightChild"], split["featureIndex"],
+            split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else 0.0,
+            r["prediction"], float(r["rawCount"]))
+    names, keep_names = list(fitted.features), list(keep)
+
+    def explain_rows(batches):
+        from math import factorial
+
+        def paths(nodes, node, seen):
+            """Leaves as (value, {feature: (lower, upper, share)})."""
+            left, right, feature, cut, value, weight = nodes[node]
+            if left < 0:
+                yield value, seen
+                return
+            low, high, share = seen.get(feature, (float("-inf"), float("inf"), 1.0))
+            for child, bounds in ((left, (low, min(high, cut))), (right, (max(low, cut), high))):
+                yield from paths(nodes, child, {
+                    **seen, feature: (*bounds, share * nodes[child][5] / weight)})
+
+        leaves = [(2.0 * weights[t] * value, conditions)
+                  for t, nodes in trees.items() for value, conditions in paths(nodes, 0, {})]
+        base = 0.0
+        for value, conditions in leaves:
+            for _, _, share in conditions.values():
+                value *= share
+            base += value
+
+        def shares(row):
+            out = [0.0] * len(names)
+            for value, conditions in leaves:
+                items = [(f, 1.0 if low < row[f] <= high else 0.0, share)
+                         for f, (low, high, share) in conditions.items()]
+                size = len(items)
+                for position, (feature, hit, share) in enumerate(items):
+                    # Sizes of coalitions of the other features, as a polynomial.
+                    poly = [1.0]
+                    for other, (_, on, part) in enumerate(items):
+                        if other != position:
+                            poly = [(poly[i] * part if i < len(poly) else 0.0)
+                                    + (poly[i - 1] * on if i else 0.0) for i in range(len(poly) + 1)]
+                    total = sum(c * factorial(i) * factorial(size - i - 1) for i, c in enumerate(poly))
+                    out[feature] += value * (hit - share) * total / factorial(size)
+            return out
+
+        import pandas as pd
+        for batch in batches:
+            records = []
+            for _, row in batch.iterrows():
+                given = shares([float(row[n]) for n in names])
+                ranked = sorted(range(len(names)), key=lambda i: -abs(given[i]))
+                for rank, i in enumerate(ranked, start=1):
+                    records.append([*[row[k] for k in keep_names], names[i], rank, given[i], base])
+            yield pd.DataFrame(records, columns=[*keep_names, "term", "absolute_contribution_rank",
+                                                 "contribution_log_odds", "base_log_odds"])
+
+    schema = df.select(*keep).schema
+    for name, kind in (("term", "string"), ("absolute_contribution_rank", "integer"),
+                       ("contribution_log_odds", "double"), ("base_log_odds", "double")):
+        schema = schema.add(name, kind)
+    return df.select(*keep, *[n for n in names if n not in keep]).mapInPandas(explain_rows, schema)

@@ -73,10 +73,11 @@ def conflicting_keys(rows: DataFrame) -> DataFrame:
 def routed(raw: DataFrame, source: Source) -> DataFrame:
     """Every input row with its route: invalid, conflict, duplicate or kept.
 
-    The rows are the left side of the join, so adaptive execution can split a
+    The inspected rows are used twice, so they are written once instead of parsed
+    twice. They are the left side of the join, so adaptive execution can split a
     partition made large by a hot key; the right side is unique per key.
     """
-    rows = inspected(raw, source)
+    rows = ordered.cut(inspected(raw, source))
     keys = repeated_keys(rows, source)
     joined = rows.join(keys, "url_key", "left")
     route = (F.when(F.col("reason") != "", "invalid")
