@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans import ordered
+from ..sources.tables import spread
 
 TABLES = ["lineitem", "pages", "labels", "events", "embeddings"]
 # Suffix rules of the registered queries: ordinary ones plus three private suffixes.
@@ -68,14 +69,15 @@ from ({URLS_V}) v, (select 'coarse' as model union all select 'fine' as model) m
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a view's text over the given tables."""
-    return spark.sql(
-        "with " + ", ".join(f"{n} as (select * from parquet.`{sf_dir}/{n}.parquet`)"
-                            for n in TABLES if n in sql) + " " + sql)
+    used = [n for n in TABLES if f"from {n}" in sql]
+    for name in used:
+        sql = sql.replace(f"from {name}", f"from {{{name}}}")
+    return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in used})
 
 
 def pages(spark, sf_dir):

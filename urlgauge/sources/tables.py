@@ -19,6 +19,17 @@ HISTORY_SCHEMA = (
     "reasons array<struct<title:string,flagged:boolean,detail:string>>, checked_at string, ts timestamp")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core on an input of few splits; leave an input of many splits alone.
+
+    URL work costs far more than reading, so a short file in one row group would keep
+    one core busy. `scan` must be a plain scan. Filters and column choices still move
+    below the added exchange.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_raw_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
     """Two text columns of a raw list, empty cells as '', with a 1-based source_row.
 
