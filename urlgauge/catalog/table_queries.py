@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import features, urls
 from ..operators import cluster, history, metrics, prepare, sampling, split
-from ..plans import ordered
+from ..plans import joins, ordered
 from ..sources import registry
 from . import inputs as I, sql as S
 from .registry import query
@@ -93,7 +93,7 @@ def d02(spark, sf_dir):
 @query("d03_conflicting_rows", S.with_(S.prepared(), "select source_row, url from routes where route = 'conflict'"))
 def d03(spark, sf_dir):
     rows = inspected(spark, sf_dir)
-    return rows.join(prepare.conflicting_keys(rows), "url_key", "left_semi").select("source_row", "url")
+    return joins.lookup(rows, prepare.conflicting_keys(rows), "url_key", "left_semi").select("source_row", "url")
 
 
 @query("d04_eligible_rows", S.with_(S.prepared(), """
@@ -101,7 +101,7 @@ def d03(spark, sf_dir):
 def d04(spark, sf_dir):
     rows = inspected(spark, sf_dir)
     valid = rows.where("reason = ''")
-    return valid.join(prepare.conflicting_keys(rows), "url_key", "left_anti").select("source_row", "url")
+    return joins.lookup(valid, prepare.conflicting_keys(rows), "url_key", "left_anti").select("source_row", "url")
 
 
 @query("d05_cross_source_anti", S.with_(GROUPED, """
@@ -120,7 +120,7 @@ def d05(spark, sf_dir):
 def d05_counts(spark, sf_dir):
     rows = labelled_groups(spark, sf_dir)
     source = rows.where("l_suppkey % 2 = 0").select("domain_group").distinct().withColumn("known", F.lit(True))
-    joined = rows.where("l_suppkey % 3 = 0").join(source, "domain_group", "left")
+    joined = joins.lookup(rows.where("l_suppkey % 3 = 0"), source, "domain_group")
     return joined.agg(F.count_if(F.col("known").isNull()).alias("kept_rows"),
                       F.count_if("known").alias("excluded_rows"))
 

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
+from ..plans import ordered
 from . import sampling
 
 MAX_SILHOUETTE_SAMPLE = 10_000
@@ -196,7 +197,7 @@ def compare_k(df: DataFrame, row: str, ks=range(2, 7), sample_size: int = 2000,
     cached or read from a written table, since every k passes over it.
     """
     spark, records, models = df.sparkSession, [], {}
-    sample = sampling.fixed_sample(df.select(row, "values"), row, sample_size, seed)
+    sample = ordered.cut(sampling.fixed_sample(df.select(row, "values"), row, sample_size, seed))
     held = sample.withColumn("point", vector_to_array("values"))
     for k in ks:
         model = models[k] = fit(df, k, seed)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import features, urls
-from ..plans import ordered
+from ..plans import joins, ordered
 from ..sources.registry import Source, mapped, normal_label
 
 AUDIT = ["source_row", "url", "original_label", "original_category", "label"]
@@ -74,12 +74,10 @@ def routed(raw: DataFrame, source: Source) -> DataFrame:
     """Every input row with its route: invalid, conflict, duplicate or kept.
 
     The inspected rows are used twice, so they are written once instead of parsed
-    twice. They are the left side of the join, so adaptive execution can split a
-    partition made large by a hot key; the right side is unique per key.
+    twice.
     """
     rows = ordered.cut(inspected(raw, source))
-    keys = repeated_keys(rows, source)
-    joined = rows.join(keys, "url_key", "left")
+    joined = joins.lookup(rows, repeated_keys(rows, source), "url_key")
     route = (F.when(F.col("reason") != "", "invalid")
              .when(F.col("low") != F.col("high"), "conflict")
              .when(F.col("first_row") != F.col("source_row"), "duplicate")
@@ -119,8 +117,9 @@ def split_routes(route: DataFrame, scored: DataFrame, dataset: str) -> Prepared:
     kept = ordered.number_ordinals(scored.where("route = 'kept'"), "source_row")
     numbers = kept.select(F.col("source_row").alias("first_row"),
                           F.col("row_number").alias("retained_row_number"))
-    duplicates = (route.where("route = 'duplicate'").select(*AUDIT, "first_row")
-                  .join(numbers, "first_row", "left").select(*AUDIT, "retained_row_number"))
+    again = route.where("route = 'duplicate'").select(*AUDIT, "first_row")
+    retained = numbers.join(again.select("first_row").distinct(), "first_row", "left_semi")
+    duplicates = joins.lookup(again, retained, "first_row").select(*AUDIT, "retained_row_number")
     excluded = route.where("route in ('invalid', 'conflict')").select(*AUDIT, "reason").unionByName(
         scored.where("route = 'failed'").select(*AUDIT, "reason"))
     metadata = kept.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions import hosts
-from ..plans import ordered
+from ..plans import joins, ordered
 
 
 def assign(df: DataFrame, url: str = "url", seed: int = K.DEFAULT_SEED, rules=None) -> DataFrame:
@@ -79,8 +79,5 @@ def shared_groups(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def outside_source(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Target rows whose domain group never occurs in the other source.
-
-    The target stays on the left, where a partition with a hot group can be split.
-    """
-    return target.join(source.select("domain_group").distinct(), "domain_group", "left_anti")
+    """Target rows whose domain group never occurs in the other source."""
+    return joins.lookup(target, source.select("domain_group").distinct(), "domain_group", "left_anti")

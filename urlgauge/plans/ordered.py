@@ -48,6 +48,11 @@ def _before(totals: DataFrame, names: list[str], by: list[str]) -> DataFrame:
         F.coalesce(F.sum(n).over(window), F.lit(0)).alias("_before_" + n) for n in names])
 
 
+def small(df: DataFrame, limit: int = 500_000) -> DataFrame:
+    """Mark a written table for broadcast if it has at most `limit` rows; else leave it."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def number_rows(df: DataFrame, order_by: list, name: str = "row_number",
                 within: list[str] | None = None) -> DataFrame:
     """Add 1, 2, 3, ... in the order of a unique key, restarting per `within` group.
@@ -58,14 +63,16 @@ def number_rows(df: DataFrame, order_by: list, name: str = "row_number",
     within = within or []
     order = [F.col(c) for c in within] + [F.col(c) if isinstance(c, str) else c for c in order_by]
     laid = _laid_out(df, order)
-    totals = laid.groupBy("_block").agg(F.count("*").alias("n"))
-    numbered = laid.join(_before(totals, ["n"], []), "_block").withColumn(
-        "_global", F.col("_before_n") + F.col("_at") + 1)
-    value = F.col("_global")
+    runs = cut(laid.groupBy(*within, "_block").agg(
+        F.count("*").alias("n"), F.min("_at").alias("_first")))
+    before = cut(_before(runs.groupBy("_block").agg(F.sum("n").alias("n")), ["n"], []))
+    numbered = laid.join(small(before), "_block")
+    value = F.col("_before_n") + F.col("_at") + 1
     if within:
-        starts = numbered.groupBy(*within).agg(F.min("_global").alias("_start"))
-        numbered = numbered.join(starts, within)
-        value = F.col("_global") - F.col("_start") + 1
+        starts = cut(runs.join(before, "_block").groupBy(*within).agg(
+            F.min(F.col("_before_n") + F.col("_first")).alias("_start")))
+        numbered = numbered.join(small(starts), within)
+        value = value - F.col("_start")
     return numbered.select(*df.columns, value.cast("long").alias(name))
 
 
@@ -81,7 +88,8 @@ def number_ordinals(df: DataFrame, ordinal: str, name: str = "row_number",
     totals = work.groupBy(*within, "_block").agg(F.count("*").alias("n"))
     local = F.row_number().over(Window.partitionBy(*within, "_block").orderBy(ordinal))
     ranked = work.withColumn("_local", local)
-    shifted = ranked.join(_before(totals, ["n"], within), [*within, "_block"])
+    before = cut(_before(totals, ["n"], within))
+    shifted = ranked.join(small(before), [*within, "_block"])
     return shifted.select(*df.columns, (F.col("_before_n") + F.col("_local")).cast("long").alias(name))
 
 
@@ -99,6 +107,7 @@ def running_totals(df: DataFrame, order_by: list[Column], sums: dict[str, str],
     run = (Window.partitionBy(*by, "_block").orderBy("_slot")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     own = laid.withColumns({"_run_" + c: F.sum(c).over(run) for c in sources})
-    joined = own.join(_before(totals, sources, by), [*by, "_block"])
+    before = cut(_before(totals, sources, by))
+    joined = own.join(small(before), [*by, "_block"])
     return joined.select(*df.columns, *[
         (F.col("_run_" + c) + F.col("_before_" + c)).alias(n) for n, c in sums.items()])
