@@ -245,6 +245,29 @@ def g16_acceptance(spark, sf_dir):
         F.count("*").alias("rows"), F.count("trust_score").alias("scored"))
 
 
+@query("g17_frozen_evaluation", S.with_(GROUPED, """
+ select 'test' as evaluation_set, count(*) as rows from all_groups where split = 'test'
+ union all select 'cross_source', count(*) from all_groups where split = 'test' and l_suppkey % 3 = 0 and domain_group
+  not in (select domain_group from all_groups where l_suppkey % 2 = 0)"""))
+def g17(spark, sf_dir):
+    """Choose on validation, write the choice, then score the test and the cross-source rows."""
+    names = ["logistic_regression", "random_forest", "additive"]
+    fits = [fitted(spark, sf_dir, n) for n in names]
+    keep = [*I.ROW_KEY, "label", "domain_group"]
+    quality = metrics.binary_metrics(
+        models.score_all(fits, validation_rows(spark, sf_dir), keep), by=["model"])
+    frozen = ordered.cut(metrics.best_model(quality.withColumn("dataset", F.lit("larger")), ["dataset"]))
+    chosen = frozen.first()["selected"]
+    test = table(spark, sf_dir).where("split = 'test'")
+    known = table(spark, sf_dir).where("l_suppkey % 2 = 0")
+    crossing = split.outside_source(test.where("l_suppkey % 3 = 0"), known)
+    model = fitted(spark, sf_dir, chosen)
+    sets = [models.score(model, rows, keep).withColumn("evaluation_set", F.lit(name))
+            for name, rows in (("test", test), ("cross_source", crossing))]
+    both = metrics.confusion(sets[0].unionByName(sets[1]), ["evaluation_set"])
+    return both.select("evaluation_set", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("rows"))
+
+
 @query("g18_stored_metrics_agree", "select model, true as agrees from (values ('logistic_regression'), ('random_forest')) m(model)")
 def g18(spark, sf_dir):
     fits = [fitted(spark, sf_dir, n) for n in ("logistic_regression", "random_forest")]

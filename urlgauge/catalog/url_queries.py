@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import cards, features, hosts, urls
 from ..operators import prepare, split
-from ..sources import registry, tables
+from ..sources import publish, registry, tables
 from . import inputs as I, sql as S
 from .registry import query
 
@@ -73,6 +73,32 @@ def a05(spark, sf_dir):
     return spark.read.schema("id long, url string").csv(path, header=True, escape='"')
 
 
+@query("a06_publish_once", "select page_id as id, url, true as second_run_refused from pages")
+def a06(spark, sf_dir):
+    from ..plans import scratch
+    folder = scratch.folder(spark, "a06")
+    first = publish.Publication(spark, folder)
+    first.table("rows", I.pages(spark, sf_dir))
+    first.publish()
+    try:
+        publish.Publication(spark, folder)
+        refused = False
+    except FileExistsError:
+        refused = True
+    return spark.read.parquet(f"{folder}/rows").withColumn("second_run_refused", F.lit(refused))
+
+
+@query("a07_manifest", "select count(*) as rows, true as unchanged from pages")
+def a07(spark, sf_dir):
+    from ..plans import scratch
+    folder = scratch.folder(spark, "a07")
+    rows = I.pages(spark, sf_dir)
+    publish.write_manifest(spark, folder, {"table": publish.fingerprint(rows)})
+    recorded = publish.read_manifest(spark, folder)["table"]
+    same = publish.check_fingerprint(rows, recorded, "pages")
+    return same.agg(F.count("*").alias("rows")).withColumn("unchanged", F.lit(True))
+
+
 @query("a08_fingerprint", """
 select count(*) as rows, sum(('0x' || substr(sha256(concat_ws(chr(31), cast(page_id as varchar),
  coalesce(url, '\\N'))), 1, 15))::UBIGINT::HUGEINT)::varchar as digest_sum from pages""")
