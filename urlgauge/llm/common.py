@@ -60,6 +60,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by `written`, once everything made from it is written, too."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, path)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (rows + 1, from 0) of a string array; null counts as empty."""
     if column.null_count:
