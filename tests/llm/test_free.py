@@ -119,8 +119,8 @@ def test_word_hashes():
     assert h[1] == h[2] and len(set(h.tolist())) == 4
 
 
-def words_of(text):
-    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+def words_of(text, fold=lower):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(text or ""))
 
 
 def agrees(doc, item, window=13, similarity=0.8):
@@ -135,11 +135,11 @@ def agrees(doc, item, window=13, similarity=0.8):
 
 
 def test_decontamination_query(spark, sf_dir, texts):
-    items = {r["item_id"]: words_of(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    items = {r["item_id"]: words_of(r["text"], str.lower) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     got = {r["doc_id"]: r["items"] for r in queries.op9_decontaminate(spark, sf_dir).collect()}
     wanted = {}
     for i, t in texts.items():
-        doc = words_of(t)
+        doc = words_of(t, str.lower)
         some = set(doc)
         hits = [k for k, w in items.items() if sum(x in some for x in w) >= 0.5 * len(w) and agrees(doc, w)]
         if hits:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -18,11 +20,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 CHUNK = 4 << 20  # bytes of text handled at once; one longer text is handled alone
 
 _roots: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the library to the Python workers, as --py-files would, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="urlgauge-py-")) / "urlgauge.zip"
+        with zipfile.ZipFile(path, "w") as bundle:
+            for file in sorted(package.rglob("*.py")):
+                bundle.write(file, file.relative_to(package.parent))
+        sc.addPyFile(str(path))
+        _shipped.add(sc.applicationId)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

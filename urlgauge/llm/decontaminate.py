@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Words are runs of letters and digits (ASCII lower-cased; any non-ASCII character counts as one), so
+Words are runs of letters and digits (lower-cased; any non-ASCII character counts as one), so
 case and punctuation don't matter. A fixed mask hashes some of the words in a window and ignores the
 others; windows of a benchmark item and of a document that agree in the masked words get the
 same seed although other words were replaced. Items shorter than a mask get one more mask that
@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Hasher, LOWER, chunks, mix64, text_buffer, word_spans, written
+from .common import Hasher, chunks, mix64, ship, text_buffer, word_spans, written
 
 MASKS = ("110100111", "1100101011", "1110010011")
 BITS = 24
@@ -35,8 +36,7 @@ IS_TOKEN[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 def hashed_words(column: pa.Array):
     """Word hashes (uint64) of all rows of a string array, and each row's first word (rows + 1)."""
-    data, at = text_buffer(column)
-    data = LOWER[data]
+    data, at = text_buffer(pc.utf8_lower(pc.fill_null(column, "")))
     starts, ends, row = word_spans(data, at, IS_TOKEN)
     hashes = Hasher(data)(starts, ends) if len(starts) else np.zeros(0, np.uint64)
     return hashes, np.searchsorted(row, np.arange(len(column) + 1))
@@ -181,6 +181,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, similarity
     """Every (document row, item) that overlaps: row, doc_id, item_id, n, matched, first_word, last_word.
 
     The words are counted from 0 in the document; `matched` counts agreeing words in the span."""
+    ship(docs.sparkSession)
     items = written(_items(benchmark, "item_id", "text"), "items")
     shortest = max(map(len, masks))
     # Lengths below the longest mask: a handful at most.

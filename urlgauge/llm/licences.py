@@ -24,6 +24,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import ship
+
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Notices, as normalised words, and the licence that each names.
@@ -200,6 +202,7 @@ SCHEMA = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, b
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and the columns of SCHEMA. `expressions` are the valid ones found."""
+    ship(docs.sparkSession)
     def run(batches):
         a = automaton()
         types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.string())]

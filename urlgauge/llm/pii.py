@@ -28,7 +28,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import ship, written
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
@@ -272,6 +272,7 @@ def _meets(spans: list, start: int, end: int) -> bool:
 def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11, id_col: str = "doc_id",
         text_col: str = "text") -> SkipChain:
     """Train on the base spans of at most `sample` documents with candidate tokens, chosen by a hash."""
+    ship(docs.sparkSession)
     def run(batches):
         for batch in batches:
             rows, labels, pairs, kinds = [], [], [], []
@@ -325,6 +326,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11, id_col: str = "do
 
 def find(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, base and spans as arrays of (start, end, kind)."""
+    ship(docs.sparkSession)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
 
     def run(batches):

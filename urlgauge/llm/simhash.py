@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import ship, written
 
 SEED = 42
 # Fixed value: generator polynomial of the binary Golay code of length 23.
@@ -68,6 +68,7 @@ def _fingerprint(words: list[bytes], shingle: int, seed: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -140,6 +141,7 @@ def anchors(fps: np.ndarray, distance: int):
 
 def links(nodes: DataFrame, distance: int = 2, slice_rows: int = 4096) -> DataFrame:
     """Pairs (u, v), u < v, of the distinct `fp` of `nodes` that differ in at most `distance` bits."""
+    ship(nodes.sparkSession)
     if not 0 <= distance <= 4:
         raise ValueError("distance must be 0 to 4")
 

@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import IS_SPACE, Hasher, chunks, text_buffer, word_spans, written
+from .common import IS_SPACE, Hasher, chunks, ship, text_buffer, word_spans, written
 
 SAMPLE = 40_000
 LEXICON = 4_096
@@ -226,6 +226,7 @@ class ToxicityModel:
 
     def _margin(self, rows: DataFrame, text: Column) -> DataFrame:
         """Add `__tox_margin`, the trees' raw score."""
+        ship(rows.sparkSession)
         lexicon = self.lexicon
 
         @F.arrow_udf("array<float>")
@@ -252,6 +253,7 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, learns: Column | None = None, sample: int = SAMPLE,
         size: int = LEXICON, trees: int = 24, depth: int = 4, seed: int = 7) -> ToxicityModel:
     """Fit on labels (doc_id, toxic) of the rows for which `learns` (over doc_id) holds."""
+    ship(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null")
     known = known.where(learns) if learns is not None else known
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
