@@ -65,7 +65,7 @@ def test_unit_rows(spark):
 
 def test_published_rows(spark):
     df = spark.createDataFrame([(u,) for u, *_ in PUBLISHED], "url string")
-    rows = hosts.url_group(features.with_features(df)).withColumn(
+    rows = hosts.url_group(features.with_features(df), rules=RULES).withColumn(
         "split", hosts.choose_split(F.col("domain_group")))
     found = {r["url"]: r for r in rows.collect()}
     for address, group, part, values in PUBLISHED:
@@ -168,15 +168,44 @@ def test_ip_literals(spark):
         assert row["ip"] == known(row["host"]), row["host"]
 
 
-def test_host_groups_by_both_routes(spark, monkeypatch):
+# Enough rules for the published rows and the cases below.
+RULES = ["com", "net", "org", "de", "dev", "se", "uk", "co.uk", "gov.sb", "eu.com", "pages.dev", "cprapid.com", "cloudns.nz", "nz",
+         "*.ck", "!www.ck", "cn", "com.cn", "*.compute.amazonaws.com.cn"]
+
+
+def test_host_groups(spark):
     wanted = {
-        "a.b.co.uk": "domain:b.co.uk", "co.uk": "domain:co.uk", "y.x.ck": "domain:y.x.ck",
+        "a.b.co.uk": "domain:b.co.uk", "co.uk": "domain:co.uk", "y.x.ck": "domain:y.x.ck", "x.ck": "domain:x.ck",
         "a.www.ck": "domain:www.ck", "b.a.pages.dev": "domain:a.pages.dev", "pages.dev": "domain:pages.dev",
         "localhost": "domain:localhost", "a.b.c.unknown": "domain:c.unknown", "1.2.3.4": "ip:1.2.3.4",
-        "FE80::0:1": "ip:fe80::1", "x%2Ecom": "domain:x.com", "bücher.de": "domain:xn--bcher-kva.de",
+        "FE80::0:1": "ip:fe80::1", "x%2Ecom": "domain:x.com", "b\u00fccher.de": "domain:xn--bcher-kva.de",
+        "compute.amazonaws.com.cn": "domain:amazonaws.com.cn", "100%.a+b.com": "domain:a+b.com",
+        "a.b.compute.amazonaws.com.cn": "domain:a.b.compute.amazonaws.com.cn", "1.2.3.04": "domain:3.04",
     }
     df = spark.createDataFrame([(h,) for h in wanted], "host string")
-    assert {r["host"]: r["domain_group"] for r in hosts.host_group(df).collect()} == wanted
-    monkeypatch.setattr(hosts, "MAX_INLINE_RULES", 3)
-    rules = spark.createDataFrame([(r,) for r in hosts.DEFAULT_SUFFIX_RULES], "rule string")
-    assert {r["host"]: r["domain_group"] for r in hosts.host_group(df, rules=rules).collect()} == wanted
+    assert {r["host"]: r["domain_group"] for r in hosts.host_group(df, "host", RULES).collect()} == wanted
+    rules = spark.createDataFrame([(r,) for r in RULES + [f"r{i}.com" for i in range(3000)]], "rule string")
+    assert {r["host"]: r["domain_group"] for r in hosts.host_group(df, "host", rules).collect()} == wanted
+    with pytest.raises(ValueError):
+        hosts.host_group(df, "host", None)
+
+
+def test_short_ipv6(spark):
+    names = ["::", "::1", "1::", "0:0:1:0:0:0:2:0", "1:0:0:2:3:0:0:4", "0001:00a0::0f", "1:2:3:4:5:6:7:8", "::1.2.3.4",
+             "::ffff:1.2.3.4", "fe80::1%eth0", "1:0:3:4:5:6:7:8", "64:ff9b::192.0.2.33", "0:0:0:0:0:0:0:0", "1:0:0:0:0:0:0:0"]
+    df = spark.createDataFrame([(n,) for n in names], "host string")
+    for r in df.select("host", hosts.short_ipv6(F.col("host")).alias("short")).collect():
+        assert r["short"] == ipaddress.ip_address(r["host"]).compressed, r["host"]
+
+
+def test_no_host_is_an_error(spark):
+    for address in ("http:///x", None):
+        with pytest.raises(Exception, match="without a host"):
+            hosts.url_group(spark.createDataFrame([(address,)], "url string"), rules=RULES).collect()
+    with pytest.raises(Exception, match="no split"):
+        spark.range(1).select(hosts.choose_split(F.lit(None).cast("string"))).collect()
+
+
+def test_groups_scan_once(spark, sf_dir):
+    df = hosts.url_group(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules=RULES)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

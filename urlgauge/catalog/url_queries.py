@@ -229,7 +229,7 @@ def b12(spark, sf_dir):
  select distinct host, domain_group from grouped"""))
 def b13(spark, sf_dir):
     names = parsed(spark, sf_dir).select(F.col("_host").alias("host")).distinct()
-    return hosts.host_group(names, rules=I.RULES)
+    return hosts.host_group(names, "host", I.RULES)
 
 
 @query("b13_host_group_rule_table", S.with_(S.ALL, S.parse(), S.grouped(), """
@@ -237,7 +237,37 @@ def b13(spark, sf_dir):
 def b13_rules(spark, sf_dir):
     names = parsed(spark, sf_dir).select(F.col("_host").alias("host")).distinct()
     rules = spark.createDataFrame([(r,) for r in I.RULES], "rule string")
-    return hosts._host_group_joined(names, "host", rules, "domain_group")
+    return hosts.host_group(names, "host", rules)
+
+
+# Wildcards, an exception, hosts that are a suffix or a wildcard's base, escapes, addresses, foreign letters.
+ODD_RULES = ["com", "cn", "com.cn", "*.ck", "!www.ck", "*.compute.amazonaws.com.cn", "co.uk", "de"]
+
+
+@query("b13_odd_hosts", """
+with s as (select distinct s_suppkey % 11 as kind, cast(s_suppkey as varchar) as n, s_suppkey % 256 as b, s_suppkey % 65536 as w from supplier)
+select case kind when 0 then 'a.b' || n || '.ck' when 1 then 'x.www.ck' when 2 then 'b' || n || '.ck'
+  when 3 then 'compute.amazonaws.com.cn' when 4 then 'h' || n || '.r.compute.amazonaws.com.cn' when 5 then 'com.cn'
+  when 6 then 'A' || n || '%2EShop.com.' when 7 then '2001:0db8::' || printf('%04x', w) when 8 then '10.0.0.' || b
+  when 9 then 'www.b' || chr(252) || 'cher.de' else 'a.b' || n || '.zz' end as host,
+ case kind when 0 then 'domain:a.b' || n || '.ck' when 1 then 'domain:www.ck' when 2 then 'domain:b' || n || '.ck'
+  when 3 then 'domain:amazonaws.com.cn' when 4 then 'domain:h' || n || '.r.compute.amazonaws.com.cn' when 5 then 'domain:com.cn'
+  when 6 then 'domain:shop.com' when 7 then case when w = 0 then 'ip:2001:db8::' else 'ip:2001:db8::' || printf('%x', w) end
+  when 8 then 'ip:10.0.0.' || b when 9 then 'domain:xn--bcher-kva.de' else 'domain:b' || n || '.zz' end as domain_group
+from s""")
+def b13_odd(spark, sf_dir):
+    number = F.col("s_suppkey")
+    text = number.cast("string")
+    kind = number % 11
+    host = (F.when(kind == 0, F.concat(F.lit("a.b"), text, F.lit(".ck"))).when(kind == 1, "x.www.ck")
+            .when(kind == 2, F.concat(F.lit("b"), text, F.lit(".ck"))).when(kind == 3, "compute.amazonaws.com.cn")
+            .when(kind == 4, F.concat(F.lit("h"), text, F.lit(".r.compute.amazonaws.com.cn"))).when(kind == 5, "com.cn")
+            .when(kind == 6, F.concat(F.lit("A"), text, F.lit("%2EShop.com.")))
+            .when(kind == 7, F.concat(F.lit("2001:0db8::"), F.lpad(F.lower(F.hex(number % 65536)), 4, "0")))
+            .when(kind == 8, F.concat(F.lit("10.0.0."), (number % 256).cast("string")))
+            .when(kind == 9, "www.b\u00fccher.de").otherwise(F.concat(F.lit("a.b"), text, F.lit(".zz"))))
+    names = I.table(spark, sf_dir, "supplier").select(host.alias("host")).distinct()
+    return hosts.host_group(names, "host", ODD_RULES)
 
 
 @query("b14_url_group", S.with_(S.ALL, S.parse(), S.grouped(), "select url, domain_group from grouped"))

@@ -10,7 +10,10 @@ from ..plans import joins, ordered
 
 
 def assign(df: DataFrame, url: str = "url", seed: int = K.DEFAULT_SEED, rules=None) -> DataFrame:
-    """Add domain_group and split; both are functions of the URL, so nothing is shuffled."""
+    """Add domain_group and split; both are functions of the URL, so nothing is shuffled.
+
+    `rules` are required; a URL without a host is an error.
+    """
     grouped = hosts.url_group(df, url, rules)
     return grouped.withColumn("split", hosts.choose_split(F.col("domain_group"), seed))
 
