@@ -18,6 +18,7 @@ def compute(spark, addresses):
     return [r.asDict() for r in features.with_features(df).orderBy("i").collect()]
 
 
+# Published example addresses and the feature values known for them.
 UNIT = [
     ("http://192.168.1.1/paypal/login.php", {"has_ip_address": 1, "subdomain_count": 0}),
     ("https://www.google.com/search?q=test", {"has_ip_address": 0}),

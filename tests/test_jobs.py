@@ -32,7 +32,7 @@ def folders(spark, sf_dir, tmp_path_factory):
         # Give each row its own path so that labels of one URL do not conflict.
         numbered = numbered.withColumn("url", F.concat("url", F.lit("/r"), F.col("source_row")))
         jobs.prepare_dataset(spark, numbered, name, f"{root}/{name}/prepared")
-        jobs.split_dataset(spark, f"{root}/{name}/prepared", f"{root}/{name}/split")
+        jobs.split_dataset(spark, f"{root}/{name}/prepared", f"{root}/{name}/split", rules=inputs.RULES)
         jobs.train_dataset(spark, f"{root}/{name}/split", f"{root}/{name}/models", TINY)
         out[name] = f"{root}/{name}"
     return root, out
@@ -48,7 +48,7 @@ def test_manifest_reconciles(spark, folders):
 def test_publish_once(spark, folders):
     folder = folders[1]["larger"]
     with pytest.raises(FileExistsError):
-        jobs.split_dataset(spark, f"{folder}/prepared", f"{folder}/split")
+        jobs.split_dataset(spark, f"{folder}/prepared", f"{folder}/split", rules=inputs.RULES)
 
 
 def test_changed_input_is_detected(spark, folders):

@@ -50,6 +50,18 @@ def test_a_replayed_batch_overwrites_itself(spark, model, tmp_path):
     assert sorted(spark.read.parquet(str(tmp_path / "history")).collect()) == first
 
 
+def test_late_and_repeated_requests_are_kept_once(spark, model, tmp_path):
+    rows = requests(spark, 4).withColumn("ts", F.expr("timestampadd(minute, -90 * cast(substr(request_id, 2) as int), ts)"))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in ("request_id <> 'r3'", "request_id = 'r3'", "request_id <> 'r1'"):
+        rows.where(part).write.mode("append").json(source)
+        scorer.run_available(tables.read_requests(spark, source, streaming=True), model, out, str(tmp_path / "state"))
+    got = spark.read.parquet(out + "/requests").select("request_id").collect()
+    assert sorted(r[0] for r in got) == ["r0", "r1", "r2", "r3"]
+    history, rejected = (spark.read.parquet(f"{out}/{n}").count() for n in ("history", "rejected"))
+    assert (history, rejected) == (3, 1)
+
+
 def test_record_is_consistent(spark, model):
     for row in explain.score_urls(requests(spark, 20), model).where("valid").collect():
         total = row["base_log_odds"] + sum(c["contribution"] for c in row["model_contributions"])

@@ -193,7 +193,7 @@ def clustered(spark, sf_dir):
         rows = cluster.select_class(train_rows(spark, sf_dir))
         values = cluster.assemble(cluster.preprocess(rows, cluster.scaling(rows))).persist()
         numbered = values.withColumn("row", F.concat_ws("-", *I.ROW_KEY))
-        return numbered, *cluster.compare_k(numbered, "row", ks=(2, 3))
+        return numbered, *cluster.compare_k(numbered, "row")
     return I.held(spark, sf_dir, "clusters", make)
 
 

@@ -147,14 +147,14 @@ def prepared(view: str = inputs.URLS_V) -> str:
     return raw(view) + "," + parse() + f""",
 inspected as (select source_row, u as url, original_label, u <> url as trimmed,
   lower(trim(original_label)) as cat, {REASON} as why, {KEY} as k, rtrim(host, '.') as hostname from parsed),
-reasoned as (select source_row, url, original_label, trimmed, nullif(cat, '') as original_category, hostname,
+reasoned as materialized (select source_row, url, original_label, trimmed, nullif(cat, '') as original_category, hostname,
   case when cat = '' then null when cat = 'benign' then 0 else 1 end as label,
   case when cat = '' then 'missing_label' else why end as reason,
   case when why = '' then k else '' end as url_key from inspected),
-keys as (select url_key, count(distinct label) as labels, min(source_row) as first_row, count(*) as records,
+keys as materialized (select url_key, count(distinct label) as labels, min(source_row) as first_row, count(*) as records,
   string_agg(distinct original_category, ';' order by original_category) as categories
   from reasoned where reason = '' group by url_key),
-routes as (select r.*, labels, coalesce(first_row, source_row) as first_row, coalesce(records, 1) as records,
+routes as materialized (select r.*, labels, coalesce(first_row, source_row) as first_row, coalesce(records, 1) as records,
   coalesce(categories, original_category) as categories,
   case when reason <> '' then 'invalid' when labels > 1 then 'conflict'
    when first_row <> source_row then 'duplicate' else 'kept' end as route

@@ -235,9 +235,9 @@ def d16(spark, sf_dir):
  union all select 'label', label::varchar, count(*) from routes group by label"""))
 def e01(spark, sf_dir):
     rows = prepare.inspected(I.raw_edges(spark, sf_dir), LARGER)
-    parts = [prepare.value_counts(rows, c).withColumn("what", F.lit(w)) for w, c in
-             (("reason", "reason"), ("category", "original_category"), ("label", "label"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    pairs = F.array(*[F.struct(F.lit(w).alias("what"), F.col(c).cast("string").alias("value")) for w, c in
+                      (("reason", "reason"), ("category", "original_category"), ("label", "label"))])
+    return rows.select(F.inline(pairs)).groupBy("what", "value").agg(F.count("*").alias("rows"))
 
 
 @query("e02_conflicting_keys", S.with_(S.prepared(), "select url_key from keys where labels > 1"))
@@ -404,10 +404,10 @@ def e19(spark, sf_dir):
 
 
 @query("e20_difference_pivot", S.with_(PROFILE, "select feature, " + ", ".join(
-    f"round(max(case when cluster = {c} then d end), 6) as c{c}" for c in range(4)) + " from ranked group by feature"))
+    f"round(max(case when cluster = {c} then d end), 6) as c{c}" for c in range(10)) + " from ranked group by feature"))
 def e20(spark, sf_dir):
-    table = cluster.difference_table(profile_rows(spark, sf_dir), list(range(4)))
-    return table.select("feature", *[F.round(F.col(f"`{c}`"), 6).alias(f"c{c}") for c in range(4)])
+    table = cluster.difference_table(profile_rows(spark, sf_dir), list(range(10)))
+    return table.select("feature", *[F.round(F.col(f"`{c}`"), 6).alias(f"c{c}") for c in range(10)])
 
 
 SILHOUETTE = """
@@ -563,15 +563,16 @@ def f10(spark, sf_dir):
     return metrics.best_model(full, ["uses_https"])
 
 
-K_TABLE = """select user_id as k, round(avg(value), 4) as silhouette_estimate from events
- where user_id between 2 and 30 group by user_id"""
+# Means of whole millionths: sums of integers, so that no order of rows changes a last digit.
+K_TABLE = """select user_id as k, sum(cast(round(value * 1000000) as bigint))::bigint::double / count(*)::double / 1000000
+ as silhouette_estimate from events group by user_id"""
 
 
 @query("f11_best_k", f"select k, silhouette_estimate from ({K_TABLE}) t order by silhouette_estimate desc, k limit 1")
 def f11(spark, sf_dir):
-    rows = I.table(spark, sf_dir, "events").where(F.col("user_id").between(2, 30))
-    return cluster.choose_k(rows.groupBy(F.col("user_id").alias("k")).agg(
-        F.round(F.avg("value"), 4).alias("silhouette_estimate")))
+    total = F.sum(F.round(F.col("value") * 1000000).cast("bigint")).cast("double")
+    return cluster.choose_k(I.table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(
+        (total / F.count("*").cast("double") / 1000000).alias("silhouette_estimate")))
 
 
 @query("f13_recent", S.with_(S.HISTORY, "select id, url from history order by id desc limit 10"))

@@ -240,15 +240,18 @@ def score_urls(df: DataFrame, model: Additive, url: str = "url", model_name: str
 
 
 def score_urls_older(df: DataFrame, forest: models.Fitted, url: str = "url") -> DataFrame:
-    """The older record: forest score, three-way status, four cards, worded reasons."""
+    """The older record: forest score, three-way status, four cards, worded reasons. All NULL for an unusable URL."""
     weights = dict(models.importances(forest))
-    rows = features.with_features(df.where(urls.usable(urls.strip(F.col(url)))), url)
+    # Unusable URLs keep their row: a stand-in goes through the forest and its results are blanked.
+    ok = urls.usable(urls.strip(F.col(url)))
+    rows = features.with_features(df.withColumns({
+        "__usable": ok, "__scored": F.when(ok, F.col(url)).otherwise("http://unusable.invalid/")}), "__scored")
     scored = forest.pipeline.transform(rows).withColumn("_p", models.vector_to_array("probability")[1])
     trust = cards.trust_score(F.col("_p"))
-    return scored.select(
-        *df.columns, trust.alias("trust_score"), F.round("_p", 4).alias("phishing_probability"),
-        cards.risk_percent(F.col("_p")).alias("risk_percent"), cards.status3(trust).alias("status"),
-        cards.signal_cards().alias("cards"), cards.reasons(weights).alias("top_signals"))
+    results = {"trust_score": trust, "phishing_probability": F.round("_p", 4),
+               "risk_percent": cards.risk_percent(F.col("_p")), "status": cards.status3(trust),
+               "cards": cards.signal_cards(), "top_signals": cards.reasons(weights)}
+    return scored.select(*df.columns, *[F.when(F.col("__usable"), c).alias(n) for n, c in results.items()])
 
 
 def tree_contributions(df: DataFrame, fitted: models.Fitted, keep: list[str], folder: str) -> DataFrame:

@@ -98,7 +98,7 @@ def curve_points(scored: DataFrame, by: list[str] | None = None, label: str = "l
     points = curve(scored, by, label, probability)
     totals = points.groupBy(*by).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     if by:
-        joined = points.join(ordered.small(ordered.cut(totals)), by)
+        joined = points.join(ordered.cut(totals), by)
     else:
         one = totals.first()
         joined = points.withColumns({"_pos": F.lit(one["_pos"]), "_neg": F.lit(one["_neg"])})

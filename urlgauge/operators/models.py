@@ -67,7 +67,7 @@ def fit_majority(train: DataFrame) -> Fitted:
 
 
 def _fit(name, names, stages, train) -> Fitted:
-    ordered.ensure_checkpoint_dir(train.sparkSession)
+    ordered.working_folder(train.sparkSession)
     begun = perf_counter()
     model = Pipeline(stages=[_assembler(names), *stages]).fit(train)
     return Fitted(name, list(names), model, fit_seconds=perf_counter() - begun)

@@ -77,7 +77,9 @@ def routed(raw: DataFrame, source: Source) -> DataFrame:
     twice.
     """
     rows = ordered.cut(inspected(raw, source))
-    joined = joins.lookup(rows, repeated_keys(rows, source), "url_key")
+    # Rejected rows share the empty key, so they go past the join.
+    joined = joins.lookup(rows.where("reason = ''"), repeated_keys(rows, source), "url_key").unionByName(
+        rows.where("reason <> ''"), allowMissingColumns=True)
     route = (F.when(F.col("reason") != "", "invalid")
              .when(F.col("low") != F.col("high"), "conflict")
              .when(F.col("first_row") != F.col("source_row"), "duplicate")

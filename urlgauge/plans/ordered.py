@@ -8,34 +8,54 @@ per-partition totals.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _POSITION = (1 << 33) - 1
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; a scratch folder only serves a local session."""
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # noqa: BLE001 - the session may have ended; then the folder's owner cleans up
+        pass
+
+
+_folders: dict[str, str] = {}
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A folder of this application in `spark.checkpoint.dir`, which all executors reach; removed at exit.
+
+    Only a local session without that setting uses a temporary folder."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach.")
-        folder = tempfile.mkdtemp(prefix="urlgauge-ckpt-")
-    sc.setCheckpointDir(folder)
+    if sc.applicationId not in _folders:
+        base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if not base:
+            if not sc.master.startswith("local["):
+                raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach.")
+            base = tempfile.mkdtemp(prefix="urlgauge-")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(base)
+        _folders[sc.applicationId] = f"{base}/work-{sc.applicationId}-{uuid4().hex[:8]}"
+        atexit.register(_remove, spark, _folders[sc.applicationId])
+    return _folders[sc.applicationId]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the working folder and read it back: columns can be pruned, sizes are known."""
+    path = f"{working_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _laid_out(df: DataFrame, order: list[Column]) -> DataFrame:
-    laid = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Range partitioning samples its input first, so the input is written instead of computed twice.
+    laid = cut(df).repartitionByRange(*order).sortWithinPartitions(*order)
     laid = laid.withColumn("_slot", F.monotonically_increasing_id())
     return cut(laid).withColumns({
         "_block": F.shiftright("_slot", 33), "_at": F.col("_slot").bitwiseAND(_POSITION)})
@@ -48,11 +68,6 @@ def _before(totals: DataFrame, names: list[str], by: list[str]) -> DataFrame:
         F.coalesce(F.sum(n).over(window), F.lit(0)).alias("_before_" + n) for n in names])
 
 
-def small(df: DataFrame, limit: int = 500_000) -> DataFrame:
-    """Mark a written table for broadcast if it has at most `limit` rows; else leave it."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def number_rows(df: DataFrame, order_by: list, name: str = "row_number",
                 within: list[str] | None = None) -> DataFrame:
     """Add 1, 2, 3, ... in the order of a unique key, restarting per `within` group.
@@ -66,12 +81,12 @@ def number_rows(df: DataFrame, order_by: list, name: str = "row_number",
     runs = cut(laid.groupBy(*within, "_block").agg(
         F.count("*").alias("n"), F.min("_at").alias("_first")))
     before = cut(_before(runs.groupBy("_block").agg(F.sum("n").alias("n")), ["n"], []))
-    numbered = laid.join(small(before), "_block")
+    numbered = laid.join(before, "_block")
     value = F.col("_before_n") + F.col("_at") + 1
     if within:
         starts = cut(runs.join(before, "_block").groupBy(*within).agg(
             F.min(F.col("_before_n") + F.col("_first")).alias("_start")))
-        numbered = numbered.join(small(starts), within)
+        numbered = numbered.join(starts, within)
         value = value - F.col("_start")
     return numbered.select(*df.columns, value.cast("long").alias(name))
 
@@ -89,7 +104,7 @@ def number_ordinals(df: DataFrame, ordinal: str, name: str = "row_number",
     local = F.row_number().over(Window.partitionBy(*within, "_block").orderBy(ordinal))
     ranked = work.withColumn("_local", local)
     before = cut(_before(totals, ["n"], within))
-    shifted = ranked.join(small(before), [*within, "_block"])
+    shifted = ranked.join(before, [*within, "_block"])
     return shifted.select(*df.columns, (F.col("_before_n") + F.col("_local")).cast("long").alias(name))
 
 
@@ -108,6 +123,6 @@ def running_totals(df: DataFrame, order_by: list[Column], sums: dict[str, str],
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     own = laid.withColumns({"_run_" + c: F.sum(c).over(run) for c in sources})
     before = cut(_before(totals, sources, by))
-    joined = own.join(small(before), [*by, "_block"])
+    joined = own.join(before, [*by, "_block"])
     return joined.select(*df.columns, *[
         (F.col("_run_" + c) + F.col("_before_" + c)).alias(n) for n, c in sums.items()])

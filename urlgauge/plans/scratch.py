@@ -6,9 +6,8 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-from .ordered import ensure_checkpoint_dir
+from .ordered import working_folder
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    return f"{working_folder(spark)}/{name}-{uuid4().hex}"

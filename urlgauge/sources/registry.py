@@ -23,9 +23,9 @@ SOURCES = {
         "larger", "url", "type",
         {"benign": 0, "phishing": 1, "defacement": 1, "malware": 1},
         {n: n for n in ("benign", "phishing", "defacement", "malware")},
-        "malicious: phishing, defacement or malware"),
+        "any category but benign"),
     "smaller": Source(
-        "smaller", "URL", "label", {"1": 0, "0": 1}, {"1": "benign", "0": "phishing"}, "phishing"),
+        "smaller", "URL", "label", {"1": 0, "0": 1}, {"1": "benign", "0": "phishing"}, "the category phishing"),
 }
 
 

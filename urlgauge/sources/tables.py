@@ -20,14 +20,14 @@ HISTORY_SCHEMA = (
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use every core on an input of few splits; leave an input of many splits alone.
+    """Use more cores on an input of a few splits; leave any larger input alone.
 
     URL work costs far more than reading, so a short file in one row group would keep
-    one core busy. `scan` must be a plain scan. Filters and column choices still move
-    below the added exchange.
+    one core busy. Fewer than 32 splits are about 4 GB at most, whatever the cluster. `scan` must
+    be a plain scan. Filters and column choices still move below the added exchange.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = min(32, scan.sparkSession.sparkContext.defaultParallelism)
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
 
 
 def read_raw_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
