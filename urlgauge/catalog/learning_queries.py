@@ -170,7 +170,8 @@ def g09(spark, sf_dir):
 
 @query("g10_older_reasons")
 def g10(spark, sf_dir):
-    return explain.score_urls_older(I.all_urls(spark, sf_dir), fitted(spark, sf_dir, "random_forest")).select(
+    both = I.view(spark, sf_dir, f"{I.ALL_URLS} union select url from ({I.EDGE_V}) e")
+    return explain.score_urls_older(both, fitted(spark, sf_dir, "random_forest")).select(
         "url", "trust_score", "status", F.concat_ws("; ", "top_signals").alias("top_signals"))
 
 

@@ -158,10 +158,10 @@ def b02(spark, sf_dir):
 
 
 @query("b03_url_parts", S.with_(S.BOTH, S.parse(), """
- select url, scheme, netloc, path, query, fragment, host, port_text from parsed where not contains(u, chr(1))"""))
+ select url, scheme, netloc, path, query, fragment, host, port_text from parsed"""))
 def b03(spark, sf_dir):
     rows = parsed(spark, sf_dir, f"{I.ALL_URLS} union select url from ({I.EDGE_V}) e")
-    return rows.where(~F.contains("u", F.lit("\x01"))).select(
+    return rows.select(
         "url", *[F.col("_" + n).alias(n) for n in
                  ("scheme", "netloc", "path", "query", "fragment", "host", "port_text")])
 
@@ -246,7 +246,7 @@ ODD_RULES = ["com", "cn", "com.cn", "*.ck", "!www.ck", "*.compute.amazonaws.com.
 
 @query("b13_odd_hosts", """
 with s as (select distinct s_suppkey % 11 as kind, cast(s_suppkey as varchar) as n, s_suppkey % 256 as b, s_suppkey % 65536 as w from supplier)
-select case kind when 0 then 'a.b' || n || '.ck' when 1 then 'x.www.ck' when 2 then 'b' || n || '.ck'
+select distinct case kind when 0 then 'a.b' || n || '.ck' when 1 then 'x.www.ck' when 2 then 'b' || n || '.ck'
   when 3 then 'compute.amazonaws.com.cn' when 4 then 'h' || n || '.r.compute.amazonaws.com.cn' when 5 then 'com.cn'
   when 6 then 'A' || n || '%2EShop.com.' when 7 then '2001:0db8::' || printf('%04x', w) when 8 then '10.0.0.' || b
   when 9 then 'www.b' || chr(252) || 'cher.de' else 'a.b' || n || '.zz' end as host,

@@ -126,11 +126,18 @@ def score(model: Fitted, df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def score_all(models: list[Fitted], df: DataFrame, keep: list[str]) -> DataFrame:
-    """All models' long rows together."""
-    out = score(models[0], df, keep)
-    for model in models[1:]:
-        out = out.unionByName(score(model, df, keep))
-    return out
+    """All models' long rows together, from one pass over `df`."""
+    scored, chances = df, []
+    for i, model in enumerate(models):
+        if model.pipeline is None:
+            scored = scored.withColumn(f"__p{i}", F.lit(model.prior))
+        else:
+            scored = model.pipeline.transform(scored).withColumn(f"__p{i}", vector_to_array("probability")[1])
+        chances.append(f"__p{i}")
+        scored = scored.select(*df.columns, *chances)
+    return scored.select(*keep, F.inline(F.array(*[F.struct(
+        F.lit(model.name).alias("model"), F.col(p).alias("probability"),
+        (F.col(p) >= K.THRESHOLD).cast("int").alias("prediction")) for model, p in zip(models, chances)])))
 
 
 def wide(scored: DataFrame, keep: list[str], names: list[str]) -> DataFrame:
