@@ -20,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 CHUNK = 4 << 20  # bytes of text handled at once; one longer text is handled alone
 
 _roots: dict[str, str] = {}
