@@ -19,9 +19,11 @@ def _id_hash(modulus: int):
 
 
 def op1_exact_dedup(spark, sf_dir):
-    """A fresh index, filled with all documents; the result is what the batch was told."""
-    index = exact_dedup.ExactIndex(spark, f"exact_index_{uuid4().hex[:12]}")
-    return index.add(_table(spark, sf_dir, "documents")).drop("known")
+    """A fresh index, filled with all documents; the result is what the batch was told, which is written."""
+    name = f"exact_index_{uuid4().hex[:12]}"
+    told = exact_dedup.ExactIndex(spark, name).add(_table(spark, sf_dir, "documents")).drop("known")
+    spark.sql(f"drop table {name}")
+    return told
 
 
 def op2_lm_score(spark, sf_dir):
