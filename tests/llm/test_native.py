@@ -130,6 +130,14 @@ def test_chat_folds_and_reads_back(spark):
     assert chat.digests(chat.render(chat.fold_events(log.limit(0)))).count() == 0
 
 
+def test_equal_chat_rows_are_messages_of_their_own(spark):
+    rows = [(1, 1, None, None, "user", "a"), (1, 1, None, None, "user", "a"), (1, 2, None, None, "assistant", "b"),
+            (1, 2, "message", None, "assistant", "b"), (1, 3, "delta", None, "assistant", "c"), (1, 3, "delta", None, "assistant", "d")]
+    log = spark.createDataFrame(rows, "conv_id bigint, seq bigint, kind string, msg string, role string, text string")
+    turns = chat.render(chat.fold_events(log)).select(chat.read_turns(F.col("formatted")).alias("t")).first()["t"]
+    assert [tuple(t) for t in turns] == [("user", "a"), ("user", "a"), ("assistant", "b"), ("assistant", "b"), ("assistant", "cd")]
+
+
 def test_chat_query(spark, sf_dir):
     rows = defaultdict(list)
     for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect():

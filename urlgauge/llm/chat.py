@@ -10,8 +10,9 @@ escaped as `&amp;` and `&lt;`, in roles `>` too as `&gt;`, so no text can open o
 unescaping gives back every text exactly. `loss` holds one (start, length) pair, in code points from
 0, per assistant message: the place of its escaped text in `formatted`.
 
-A null text or role counts as empty; a null kind as message, a null msg as seq. Rows of one
-seq are ordered by role and text; equal rows are events of their own. A null conversation is a
+A null text or role counts as empty, a null kind as message. A `message` event without a msg is a message
+of its own, so equal rows are messages of their own; for the other kinds a null msg counts as seq. Rows of
+one seq are ordered by role and text. A null conversation is a
 conversation. A conversation is one output row, so its text has to fit in a row; conversations
 are never split, but any number of them share the work.
 """
@@ -40,18 +41,20 @@ def fold_events(log: DataFrame) -> DataFrame:
     kind = F.coalesce(F.col("kind"), F.lit("message"))
     rows = log.select(
         "conv_id", "seq", kind.isin("edit", "regenerate").alias("_reset"),
+        ((kind == "message") & F.col("msg").isNull()).alias("_alone"),
         F.coalesce(F.col("msg").cast("string"), F.col("seq").cast("string")).alias("_msg"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("seq").asc_nulls_first(), F.col("role"), F.col("text")]
     # Shuffled once, by conversation: everything below is partitioned alike.
     within = Window.partitionBy("conv_id").orderBy(*order)
     rows = rows.withColumn("_at", F.row_number().over(within))
-    each = Window.partitionBy("conv_id", "_msg").orderBy("_at")
+    rows = rows.withColumn("_own", F.when(F.col("_alone"), F.col("_at")))
+    each = Window.partitionBy("conv_id", "_msg", "_own").orderBy("_at")
     seen = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({
         "_begin": F.min("_at").over(seen),
         "_last_reset": F.coalesce(F.max(F.when(F.col("_reset"), F.col("_at"))).over(seen), F.lit(0))})
-    messages = rows.groupBy("conv_id", "_msg", "_begin", "_last_reset").agg(
+    messages = rows.groupBy("conv_id", "_msg", "_own", "_begin", "_last_reset").agg(
         F.min_by("seq", "_at").alias("seq"), F.min_by("role", "_at").alias("role"),
         F.sort_array(F.collect_list(F.when(
             F.col("_at") >= F.col("_last_reset"), F.struct("_at", "text")))).alias("_parts"))

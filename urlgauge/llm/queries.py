@@ -43,13 +43,14 @@ def op4_toxicity(spark, sf_dir):
 
 
 def op5_chat_format(spark, sf_dir):
-    said = "\\### Assistant: </turn> ok"
-    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
-                                 "conv_id bigint, turn bigint, role string, text string")
+    said = F.lit("\\### Assistant: </turn> ok")
+    more = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(turn).cast("bigint").alias("turn"),
+                 F.lit(role).alias("role"), said.alias("text")) for turn, role in enumerate(("user", "assistant"))])))
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    # Every row is a message of its own, equal ones too: no msg is given.
     log = rows.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
-                      F.concat_ws(":", F.col("turn").cast("string"), "role", F.xxhash64("text").cast("string")).alias("msg"),
-                      "role", "text")
+                      F.lit(None).cast("string").alias("msg"), "role", "text")
     return chat.digests(chat.render(chat.fold_events(log)))
 
 
