@@ -380,18 +380,37 @@ def test_pii_of_odd_rows(odd, none):
 
 # Licences
 
-@pytest.mark.parametrize("text,wanted", [
-    ("MIT", [{"mit"}]), ("MIT OR Apache-2.0", [{"mit"}, {"apache-2.0"}]),
-    ("MIT OR GPL-2.0 AND BSD", [{"mit"}, {"gpl-2.0", "bsd"}]), ("(MIT or GPL-2.0) and BSD", [{"mit", "bsd"}, {"gpl-2.0", "bsd"}]),
-    ("GPL-2.0 WITH Classpath-exception-2.0 AND MIT", [{"gpl-2.0 with classpath-exception-2.0", "mit"}])])
-def test_expressions(text, wanted):
-    assert [set(c) for c in licences.choices(text)] == wanted
+@pytest.mark.parametrize("text,named,always", [
+    ("MIT", {"mit"}, {"mit"}), ("MIT OR Apache-2.0", {"mit", "apache-2.0"}, set()),
+    ("MIT OR GPL-2.0 AND BSD", {"mit", "gpl-2.0", "bsd"}, set()),
+    ("(MIT or GPL-2.0) and BSD", {"mit", "gpl-2.0", "bsd"}, {"bsd"}),
+    ("(MIT or GPL-2.0 and MIT) and BSD", {"mit", "gpl-2.0", "bsd"}, {"mit", "bsd"}),
+    ("GPL-2.0 WITH Classpath-exception-2.0 AND MIT", *[{"gpl-2.0 with classpath-exception-2.0", "mit"}] * 2)])
+def test_expressions(text, named, always):
+    assert licences.licences(text) == named and licences.required(text) == always
+    # Against all subsets of the licences named: what is accepted must hold what is always required.
+    for n in range(1 << len(named)):
+        accepted = {x for i, x in enumerate(sorted(named)) if n >> i & 1}
+        plain = text.lower()
+        for x in sorted(named, key=len, reverse=True):
+            plain = plain.replace(x, str(x in accepted))
+        assert licences.permitted(text, accepted) == eval(plain)
+        assert not licences.permitted(text, accepted) or always <= accepted
 
 
 @pytest.mark.parametrize("text", ["", "MIT OR", "OR MIT", "(MIT", "MIT)", "MIT Apache", "()", "(A or B) with C"])
 def test_broken_expressions(text):
     with pytest.raises(ValueError):
-        licences.choices(text)
+        licences.licences(text)
+
+
+def test_expressions_have_no_limit():
+    """2^40 choices, and a line with very many tags."""
+    text = "SPDX-License-Identifier: " + " AND ".join(f"(L{i}a OR L{i}b)" for i in range(40))
+    got = licences.scan(text, licences.automaton())
+    assert got[5].split(",") == sorted(f"l{i}{x}" for i in range(40) for x in "ab") and got[6] == 1.0
+    many = licences.scan("SPDX-License-Identifier MIT " * 30_000, licences.automaton())
+    assert many[5:7] == ("mit", 1.0) and len(many[7]) == 30_000
 
 
 def test_tags_and_notices():

@@ -8,8 +8,9 @@ one), joined by single spaces. One automaton finds, in one pass,
    expression, is parsed as a licence expression: `with` binds tighter than `and`, that tighter
    than `or`; brackets group. A broken expression gives no label.
 
-An expression is evaluated to its choices: the sets of licences that together satisfy it. Labels are
-all licences named. The score is the strongest evidence: 1 for a valid tag, 0.9 for a notice, 0.6 for a
+An expression is evaluated to the licences that it names, to those that every choice needs, or to
+whether a set of accepted licences satisfies it; each takes one pass, however many choices there are. Labels
+are all licences named. The score is the strongest evidence: 1 for a valid tag, 0.9 for a notice, 0.6 for a
 base phrase alone, 0 for none.
 
 A null or empty text has no words and no labels. Repeated rows and null ids get the same result as any.
@@ -18,7 +19,6 @@ A null or empty text has no words and no labels. Repeated rows and null ids get
 from __future__ import annotations
 
 import re
-from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -47,10 +47,9 @@ NOTICES = {
 }
 TAGS = ("spdx license identifier",)
 TAG = re.compile(r"spdx[-_ ]license[-_ ]identifier[ \t]*[:=]?[ \t]*", re.I)
-EXPRESSION = re.compile(r"[A-Za-z0-9.+\-() \t]*")
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
+NEXT = re.compile(r"[ \t]*([()]|[A-Za-z0-9.+\-]+)")
 BINDS = {"or": 1, "and": 2, "with": 3}
-MAX_CHOICES = 64
 
 _FOLD = bytearray(b" " * 256)
 for _b in [*range(48, 58), *range(97, 123), *range(128, 256)]:
@@ -98,39 +97,57 @@ def postfix(expression: str) -> list[str]:
     return out
 
 
-def choices(expression: str) -> list[frozenset[str]]:
-    """The sets of licences that satisfy an expression; `a with b` is one licence `a with b`.
+def evaluate(expression: str, leaf, join):
+    """The value of an expression: `leaf(licence)` of its operands, `join(operator, left, right)` above them.
+
+    `a with b` is the one licence `a with b`. Raises ValueError for a malformed expression."""
+    stack = []  # (name, None) of a licence on its own, (None, value) of anything joined
+
+    def value(entry):
+        return leaf(entry[0]) if entry[0] is not None else entry[1]
 
-    Raises ValueError for a malformed one or for more than MAX_CHOICES choices."""
-    stack: list[list[frozenset[str]]] = []
     for token in postfix(expression):
         if token not in BINDS:
-            stack.append([frozenset([token])])
+            stack.append((token, None))
             continue
         right, left = stack.pop(), stack.pop()
-        if token == "or":
-            both = left + [x for x in right if x not in left]
-        elif token == "and":
-            both = list(dict.fromkeys(a | b for a, b in product(left, right)))
-        else:
-            if len(left) != 1 or len(right) != 1 or len(left[0]) != 1 or len(right[0]) != 1:
+        if token == "with":
+            if left[0] is None or right[0] is None:
                 raise ValueError("with joins a licence and an exception")
-            both = [frozenset([f"{min(left[0])} with {min(right[0])}"])]
-        if len(both) > MAX_CHOICES:
-            raise ValueError("too many choices")
-        stack.append(both)
-    return stack[0]
+            stack.append((f"{left[0]} with {right[0]}", None))
+        else:
+            stack.append((None, join(token, value(left), value(right))))
+    return value(stack[0])
+
+
+def licences(expression: str) -> set[str]:
+    """All licences that an expression names."""
+    names: set[str] = set()
+    evaluate(expression, names.add, lambda *_: None)
+    return names
+
+
+def required(expression: str) -> frozenset[str]:
+    """The licences that apply whichever alternatives are chosen."""
+    return evaluate(expression, lambda name: frozenset([name]),
+                    lambda operator, a, b: a | b if operator == "and" else a & b)
+
+
+def permitted(expression: str, accepted: set[str]) -> bool:
+    """Whether some choice among the alternatives needs accepted licences only."""
+    return evaluate(expression, accepted.__contains__,
+                    lambda operator, a, b: (a and b) if operator == "and" else (a or b))
 
 
 def expressions(text: str) -> list[str]:
     """What follows the tags of a text: the longest beginning of the line's expression that parses."""
     found = []
     for tag in TAG.finditer(text):
-        words = list(TOKEN.finditer(EXPRESSION.match(text, tag.end()).group().split("\n")[0]))
         # Prose may follow a tag on its line, so take words as long as operands and operators alternate.
-        end, operand, depth = 0, True, 0
-        for w in words:
-            low = w.group().lower()
+        end, operand, depth = None, True, 0
+        w = NEXT.match(text, tag.end())
+        while w:
+            low = w.group(1).lower()
             if low in BINDS:
                 if operand:
                     break
@@ -149,8 +166,9 @@ def expressions(text: str) -> list[str]:
                 operand = False
             if not operand and not depth:
                 end = w.end()
+            w = NEXT.match(text, w.end())
         if end:
-            found.append(words[0].string[:end].strip().rstrip("."))
+            found.append(text[tag.end():end].strip().rstrip("."))
     return found
 
 
@@ -186,11 +204,10 @@ def scan(text: str | None, a) -> tuple:
     named = []
     for expression in expressions(text) if tagged else ():
         try:
-            options = choices(expression)
+            labels |= licences(expression)
         except ValueError:
             continue
         named.append(expression)
-        labels.update(x for option in options for x in option)
         score = 1.0
     at = [joined.count(" ", 0, p) for p in (min(places), max(places))] if places else [None, None]
     return (len(words), len(places), *at, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, named)
