@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from urlgauge import constants as K
 from urlgauge.catalog import inputs
-from urlgauge.operators import models
+from urlgauge.operators import explain, models
 from urlgauge.plans import jobs, ordered
 from urlgauge.sources import publish
 
@@ -58,6 +59,25 @@ def test_changed_input_is_detected(spark, folders):
         publish.check_fingerprint(rows.withColumn("label", 1 - F.col("label")), recorded, "rows")
 
 
+def test_additive_model_serves_without_training_rows(spark, folders):
+    folder = f"{folders[1]['larger']}/models"
+    model = explain.load(spark, f"{folder}/additive", K.FEATURES)
+    fit = models.load(spark, f"{folder}/models/additive")
+    rows = spark.read.parquet(f"{folders[1]['larger']}/split/rows").where("split = 'test'").select("url", *K.FEATURES)
+    assert rows.count() > 0 and explain.unreconstructed(rows, model, fit).isEmpty()
+    # The contributions are those that training published, centred ones.
+    given = {(r["split_row_number"], r["term"]): r["contribution_log_odds"]
+             for r in spark.read.parquet(f"{folder}/local_examples").collect()}
+    numbers = sorted({n for n, _ in given})
+    held = spark.read.parquet(f"{folders[1]['larger']}/split/rows").where("split = 'validation'").where(
+        F.col("split_row_number").isin(numbers))
+    got = {(r["split_row_number"], r["term"]): r["contribution_log_odds"]
+           for r in explain.contributions(held, model, ["split_row_number"]).collect()}
+    assert got == given
+    with pytest.raises(ValueError, match="feature order"):
+        explain.load(spark, f"{folder}/additive", ["url_length"])
+
+
 def test_model_reload_rejects_other_columns(spark, folders):
     path = f"{folders[1]['larger']}/models/models/additive"
     assert models.load(spark, path).name == "additive"

@@ -137,6 +137,29 @@ def build(fitted: models.Fitted, train: DataFrame, folder: str) -> Additive:
     return centred(shapes(node_table(fitted, folder, spark), fitted.features), train)
 
 
+_SAVED = "kind string, place int, names array<string>, numbers array<double>"
+
+
+def save(spark, model: Additive, path: str) -> None:
+    """Write thresholds, grids and base, so that the model can serve without its training rows."""
+    rows = [("base", 0, list(model.features), [float(model.base)])]
+    rows += [("thresholds", i, [n], [float(t) for t in model.thresholds.get(n, [])]) for i, n in enumerate(model.features)]
+    rows += [("term", i, list(key), [float(c) for c in cells.ravel()]) for i, (key, cells) in enumerate(model.terms)]
+    spark.createDataFrame(rows, _SAVED).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark, path: str, expected: list[str] | None = None) -> Additive:
+    """The saved model; its size is set by its rounds, not by any data. Other inputs are an error."""
+    rows = sorted(spark.read.schema(_SAVED).parquet(path).collect(), key=lambda r: r["place"])
+    base = next(r for r in rows if r["kind"] == "base")
+    if expected is not None and base["names"] != list(expected):
+        raise ValueError("The saved feature order does not match.")
+    grid = {r["names"][0]: list(r["numbers"]) for r in rows if r["kind"] == "thresholds"}
+    terms = [(tuple(r["names"]), np.array(r["numbers"]).reshape([len(grid[n]) + 1 for n in r["names"]]))
+             for r in rows if r["kind"] == "term"]
+    return Additive(base["names"], grid, terms, base["numbers"][0])
+
+
 def shape_table(spark, model: Additive) -> DataFrame:
     """One row per (term, cell): the interval of each feature and the score."""
     rows = []

@@ -136,6 +136,7 @@ def train_dataset(spark: SparkSession, split_folder: str, destination: str,
     out.table("importances", importance)
     out.table("term_importances", explain.term_importance(train, additive))
     out.table("shapes", explain.shape_table(spark, additive))
+    explain.save(spark, additive, out.path("additive"))
     chosen = sampling.outcome_sample(
         scored.where("model = 'additive'"), "split_row_number", seed=settings.seed)
     examples = validation.join(F.broadcast(chosen.select("split_row_number", "outcome", "prediction")),
@@ -223,9 +224,9 @@ def _evaluate_set(spark, out, name, rows, fits, selected, validation, seed) -> N
             out.table(f"{name}/{model}_error_contributions", explain.tree_contributions(
                 examples, fit, ["split_row_number", "outcome"], out.path(f"{name}/nodes_{model}")))
         elif fit.extra.get("original", fit.name) == "additive":
-            shapes = explain.shapes(explain.node_table(fit, out.path(f"{name}/nodes_{model}"), spark), fit.features)
+            # The shapes as published with the model: centred on its training rows.
             out.table(f"{name}/{model}_error_contributions", explain.contributions(
-                examples, shapes, ["split_row_number", "outcome"]))
+                examples, fit.extra["shapes"], ["split_row_number", "outcome"]))
 
 
 def evaluate(spark: SparkSession, sources: dict[str, tuple[str, str]], destination: str,
@@ -244,6 +245,9 @@ def evaluate(spark: SparkSession, sources: dict[str, tuple[str, str]], destinati
     fits, tests = {}, {}
     for key, (split_folder, model_folder) in sources.items():
         fits[key] = [models.load(spark, f"{model_folder}/models/{n}") for n in found[key]["names"]]
+        for fit in fits[key]:
+            if fit.name == "additive":
+                fit.extra["shapes"] = explain.load(spark, f"{model_folder}/additive", fit.features)
         tests[key] = load_split(spark, split_folder, "test")
         _evaluate_set(spark, out, key, tests[key], fits[key], [selected[key]], found[key]["stored"], seed)
     known = spark.read.parquet(f"{sources['larger'][0]}/rows")
@@ -256,7 +260,7 @@ def evaluate(spark: SparkSession, sources: dict[str, tuple[str, str]], destinati
         fit = next(f for f in fits[key] if f.name == selected[key])
         alias = f"{key}_source_model"
         crossing.append(models.Fitted(alias, fit.features, fit.pipeline, fit.prior, fit.fit_seconds,
-                                      {"original": fit.name}))
+                                      {**fit.extra, "original": fit.name}))
         row = found[key]["stored"].where(F.col("model") == fit.name).withColumn("model", F.lit(alias))
         stored = row if stored is None else stored.unionByName(row)
     classes = {r[0] for r in challenge.select("label").distinct().collect()}
