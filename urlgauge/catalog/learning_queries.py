@@ -6,6 +6,7 @@ fit: ranges, reconstruction, row counts, order. Training reads the whole table.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def g05(spark, sf_dir):
                             rows, [*I.ROW_KEY, "label"])
     full = metrics.binary_metrics(both, by=["model"]).withColumn("split", F.lit("validation"))
     changed = metrics.change(full, full.where("model = 'boosted_trees'"), ["split"])
-    return changed.select("model", "split", F.col("f1_change").isNotNull().alias("compared"))
+    return changed.select("model", "split", "f1_change")
 
 
 @query("g06_additive_model")
@@ -146,6 +147,73 @@ def f09(spark, sf_dir):
     return rows.where("absolute_contribution_rank <= 6")
 
 
+#: A model written by hand, whose sums are exact in binary, so that SQL gives the same numbers: seven
+#: features on their own and a pair.
+FIXED = explain.Additive(
+    list(K.FEATURES),
+    {"url_length": [30.0, 45.0], "digit_ratio": [0.05, 0.2], "hyphen_count": [0.5, 1.5], "dot_count": [2.5],
+     "uses_https": [0.5], "tld_length": [2.5, 3.5], "path_length": [5.5, 12.5], "has_ip_address": [0.5]},
+    [(("url_length",), np.array([-0.5, 0.25, 1.0])), (("digit_ratio",), np.array([-0.125, 0.375, 0.875])),
+     (("hyphen_count",), np.array([-0.25, 0.125, 0.5])), (("dot_count",), np.array([-0.0625, 0.1875])),
+     (("uses_https",), np.array([0.75, -0.375])), (("tld_length",), np.array([0.3125, -0.1875, 0.4375])),
+     (("has_ip_address",), np.array([-0.03125, 1.5])),
+     (("path_length", "hyphen_count"), np.array([[-0.25, 0.0, 0.25], [0.0, 0.625, -0.6875], [0.5, -0.5, 1.25]]))],
+    -0.25)
+
+
+def _cell(key, cells):
+    """SQL for the score of one term: its grid, looked up by the thresholds below the values."""
+    at = "0"
+    for name, size in zip(key, cells.shape):
+        steps = " + ".join(f"({name} > {t!r})::int" for t in FIXED.thresholds[name])
+        at = f"({at}) * {size} + {steps}"
+    return f"([{', '.join(repr(float(c)) for c in cells.ravel())}]::double[])[1 + {at}]"
+
+
+FIXED_TERMS = S.with_(S.raw(I.URLS_V), S.featured(), "terms as (" + " union all ".join(
+    f"select {', '.join(I.ROW_KEY)}, url, {i} as i, '{FIXED.name(i)}' as term, {_cell(*t)} as score from feats"
+    for i, t in enumerate(FIXED.terms)) + ")", "placed as (select *, row_number() over (partition by "
+    f"{', '.join(I.ROW_KEY)} order by abs(score) desc, i)::int as rank, sum(score) over (partition by {', '.join(I.ROW_KEY)}) "
+    "as total from terms)", "")
+_SAID = f"select {', '.join(I.ROW_KEY)}, term, rank as absolute_contribution_rank, score as contribution_log_odds"
+
+
+def url_rows(spark, sf_dir):
+    return features.with_features(I.view(spark, sf_dir, I.URLS_V))
+
+
+def fixed_contributions(spark, sf_dir):
+    return explain.contributions(url_rows(spark, sf_dir), FIXED, I.ROW_KEY).select(
+        *I.ROW_KEY, "term", "absolute_contribution_rank", "contribution_log_odds")
+
+
+@query("g08_fixed_contributions", f"{FIXED_TERMS} {_SAID} from placed")
+def g08_fixed(spark, sf_dir):
+    return fixed_contributions(spark, sf_dir)
+
+
+@query("f09_fixed_top_terms", f"{FIXED_TERMS} {_SAID} from placed where rank <= 6")
+def f09_fixed(spark, sf_dir):
+    return fixed_contributions(spark, sf_dir).where("absolute_contribution_rank <= 6")
+
+
+@query("g08_fixed_totals", f"""{FIXED_TERMS} select {', '.join(I.ROW_KEY)}, -0.25::double as base_log_odds,
+ total - 0.25 as total_log_odds, round(1 / (1 + exp(-(total - 0.25))), 9) as probability from placed where rank = 1""")
+def g08_totals(spark, sf_dir):
+    """The model is saved and loaded before, as a served one is."""
+    folder = scratch.folder(spark, "fixed")
+    explain.save(spark, FIXED, folder)
+    return explain.explained(url_rows(spark, sf_dir), explain.load(spark, folder, K.FEATURES)).select(
+        *I.ROW_KEY, "base_log_odds", "total_log_odds", F.round("probability", 9).alias("probability"))
+
+
+@query("g11_fixed_importance", f"""{FIXED_TERMS} select term, round(sum((1 + l_orderkey % 3) * abs(score)) / sum(1 + l_orderkey % 3), 9)
+ as importance from placed group by term""")
+def g11_fixed(spark, sf_dir):
+    rows = url_rows(spark, sf_dir).withColumn("weight", 1 + F.col("l_orderkey") % 3)
+    return explain.term_importance(rows, FIXED).withColumn("importance", F.round("importance", 9))
+
+
 @query("f12_importance_order")
 def f12(spark, sf_dir):
     return models.importance_table(spark, fitted(spark, sf_dir, "logistic_regression")).unionByName(
@@ -161,8 +229,8 @@ def g11(spark, sf_dir):
 def g09(spark, sf_dir):
     model = fitted(spark, sf_dir, "boosted_trees")
     rows = models.score(model, validation_rows(spark, sf_dir),
-                        ["l_orderkey", "l_linenumber", "domain_group", "label", *K.FEATURES])
-    numbered = rows.withColumn("row", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+                        [*I.ROW_KEY, "domain_group", "label", *K.FEATURES])
+    numbered = rows.withColumn("row", F.concat_ws("-", *I.ROW_KEY))
     chosen = sampling.outcome_sample(numbered, "row")
     return explain.tree_contributions(chosen, model, ["row", "outcome", "probability"],
                                       scratch.folder(spark, "g09"))
@@ -175,18 +243,23 @@ def g10(spark, sf_dir):
         "url", "trust_score", "status", F.concat_ws("; ", "top_signals").alias("top_signals"))
 
 
-_SCALED = ["url_length", "digit_ratio"]
+def _z(name):
+    """SQL for one preprocessed column: log counts and others standardised, flags as they are."""
+    if name in K.FLAG_FEATURES:
+        return f"{name}::double as z_{name}"
+    x = f"ln(1 + {name})" if name in K.COUNT_FEATURES else name
+    return (f"round(({x} - avg({x}) over ()) / coalesce(nullif(stddev_pop({x}) over (), 0), 1), 6) + 0.0 as z_{name}")
 
 
 @query("g12_preprocessing", S.with_(GROUPED, "picked as (select row_number, url from grouped where label = 1)",
-                                    S.featured("picked", "3"), """
- select row_number, round((ln(1 + url_length) - avg(ln(1 + url_length)) over ()) / stddev_pop(ln(1 + url_length)) over (), 6)
-  as z_url_length, round((digit_ratio - avg(digit_ratio) over ()) / stddev_pop(digit_ratio) over (), 6) as z_digit_ratio,
- uses_https::double as z_uses_https from feats3"""))
+                                    S.featured("picked", "3"),
+                                    f"select row_number, {', '.join(map(_z, cluster.ORDER))} from feats3"))
 def g12(spark, sf_dir):
     rows = features.with_features(labelled_groups(spark, sf_dir).where("label = 1"))
     done = cluster.preprocess(rows, cluster.scaling(rows))
-    return done.select("row_number", *[F.round("z_" + n, 6).alias("z_" + n) for n in _SCALED], "z_uses_https")
+    return done.select("row_number", *[
+        F.col("z_" + n) if n in K.FLAG_FEATURES else (F.round("z_" + n, 6) + F.lit(0.0)).alias("z_" + n)
+        for n in cluster.ORDER])
 
 
 def clustered(spark, sf_dir):
@@ -269,9 +342,11 @@ def g17(spark, sf_dir):
     return both.select("evaluation_set", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("rows"))
 
 
-@query("g18_stored_metrics_agree", "select model, true as agrees from (values ('logistic_regression'), ('random_forest')) m(model)")
+@query("g18_stored_metrics_agree", "select model, model <> 'random_forest' as agrees from (values ('logistic_regression'), ('random_forest')) m(model)")
 def g18(spark, sf_dir):
     fits = [fitted(spark, sf_dir, n) for n in ("logistic_regression", "random_forest")]
     rows = models.score_all(fits, table(spark, sf_dir), [*I.ROW_KEY, "label"])
     stored = ordered.cut(metrics.binary_metrics(rows, by=["model"]))
+    # One stored number is falsified; that model must be told.
+    stored = stored.withColumn("f1", F.when(F.col("model") == "random_forest", F.col("f1") + 1e-6).otherwise(F.col("f1")))
     return metrics.consistent(stored, metrics.binary_metrics(rows, by=["model"]), ["model"])
