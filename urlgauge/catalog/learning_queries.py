@@ -7,7 +7,7 @@ fit: ranges, reconstruction, row counts, order. Training reads the whole table.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -16,7 +16,7 @@ from ..operators import cluster, explain, metrics, models, sampling, split
 from ..plans import ordered, scratch
 from . import inputs as I, sql as S
 from .registry import query
-from .table_queries import GROUPED, labelled_groups
+from .table_queries import DIMS, GROUPED, labelled_groups
 
 SMALL = models.Settings(
     logistic_iterations=50, forest_trees=10, forest_depth=6, boosted_rounds=8, boosted_rate=0.3,
@@ -290,6 +290,18 @@ def g14(spark, sf_dir):
         F.count("*").alias("rows"), (F.min("distance_to_centroid") >= 0).alias("nonnegative"))
 
 
+CENTRES = [[((7 * c + i) % 5 - 2) / 4 for i in range(DIMS)] for c in range(10)]
+
+
+@query("g14_fixed_distance", """select vec_id, round(sqrt(list_sum(list_transform(range(64),
+ lambda i: pow(embedding[i + 1]::double - ((7 * label + i) % 5 - 2) / 4.0::double, 2)))), 6) as distance from embeddings""")
+def g14_fixed(spark, sf_dir):
+    """Distances of all vectors to given centres."""
+    rows = I.table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster"), array_to_vector(
+        F.col("embedding").cast("array<double>")).alias("values"))
+    return cluster.with_distance(rows, CENTRES).select("vec_id", F.round("distance_to_centroid", 6).alias("distance"))
+
+
 @query("g15_batch_scores", "select model, count(*) as rows, 0::bigint as out_of_range from lineitem, "
        "(values ('majority_baseline'), ('logistic_regression'), ('random_forest'), ('boosted_trees'), ('additive')) m(model) group by model")
 def g15(spark, sf_dir):
@@ -310,6 +322,30 @@ def g16(spark, sf_dir):
         F.size("model_contributions").alias("terms"), F.size("url_parts").alias("parts"))
 
 
+def _signal(i):
+    title = " + ".join(K.FEATURE_TITLES[n] for n in FIXED.terms[i][0]).replace("'", "''")
+    return (f"concat('{title}: ', case when score > 0 then 'raises the phishing score' when score < 0 "
+            "then 'lowers the phishing score' else 'no contribution' end)")
+
+
+@query("g16_fixed_records", S.with_(S.BOTH, S.featured(), f"""
+ checked as (select *, not (u = '' or scheme not in ('http', 'https') or host = '' or {S._PARSE_ERROR}
+  or regexp_matches(u, '[\\x00-\\x20\\x7f]')) as valid from feats)""", "terms as (" + " union all ".join(
+    f"select url, valid, {i} as i, {_cell(*t)} as score, {_signal(i)} as signal from (select *, {_cell(*t)} as score from checked)"
+    for i, t in enumerate(FIXED.terms)) + ")", """
+ placed as (select *, row_number() over (partition by url order by abs(score) desc, i) as rank from terms),
+ whole as (select url, valid, sum(score) - 0.25 as total, string_agg(signal, ' | ' order by rank) filter (rank <= 6) as signals
+  from placed group by url, valid)""", """
+ select url, valid, case when valid then total end as total_log_odds, case when valid then (1 / (1 + exp(-total)) >= 0.5)::int end
+  as prediction, case when valid then round(100 / (1 + exp(-total)), 1) end as risk_percent,
+  coalesce(case when valid then signals end, '') as top_signals from whole"""))
+def g16_fixed(spark, sf_dir):
+    both = I.view(spark, sf_dir, f"{I.ALL_URLS} union select url from ({I.EDGE_V}) e")
+    return explain.score_urls(both, FIXED).select(
+        "url", "valid", "total_log_odds", "prediction", "risk_percent",
+        F.coalesce(F.concat_ws(" | ", "top_signals"), F.lit("")).alias("top_signals"))
+
+
 @query("g16_acceptance", S.with_(S.BOTH, S.parse(), f"""
  select count(*) as rows, count_if(not (u = '' or scheme not in ('http', 'https') or host = '' or {S._PARSE_ERROR}
   or regexp_matches(u, '[\\x00-\\x20\\x7f]')))::bigint as scored from parsed"""))

@@ -73,7 +73,8 @@ def _cnt(text: str, char: str) -> str:
 
 _REG = "regexp_extract(host, '([^.]*[.])?[^.]*$', 0)"
 _TLD = "case when contains(host, '.') then regexp_extract(host, '[^.]*$', 0) else '' end"
-_IP = f"regexp_matches(host, '{IPV4}')"
+#: The IPv6 hosts of the given rows are plain groups, with one gap at most.
+_IP = (f"(regexp_matches(host, '{IPV4}') or regexp_matches(host, '^[0-9a-f]{{0,4}}(:[0-9a-f]{{0,4}}){{2,7}}$'))")
 _BARE = "replace(host, '.', '')"
 _BEFORE = f"substr(host, 1, length(host) - length({_REG}))"
 _LATER = "case when contains(u, '://') then substr(u, strpos(u, '://') + 3) else u end"
