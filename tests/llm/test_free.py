@@ -296,6 +296,32 @@ def test_lm_query(spark, sf_dir, texts):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def running(text):
+    """The keys of a running text, byte by byte."""
+    data = b" " + b"".join(w + b" " for w in context_tree.tokenise(text)) + context_tree.END
+    return [int.from_bytes(data[max(0, i - context_tree.DEPTH):i + 1], "big") for i in range(1, len(data))]
+
+
+def test_running_keys_cross_words():
+    texts = ["Abc  de\tf", None, "", "é 😀", "a\nlongerwordhere b ", " x"]
+    keys, row = context_tree.running_keys(pa.array(["skipped", *texts]).slice(1))
+    assert keys.tolist() == [k for t in texts for k in running(t)]
+    assert row.tolist() == [i for i, t in enumerate(texts) for _ in running(t)]
+
+
+def test_lm_contexts_cross_words(spark, monkeypatch):
+    """Scores by the recursive definition over the running text; the order of words matters."""
+    train = ["the cat sat on the mat", "a cat sat", "on the cat"]
+    asked = ["the cat sat on a mat", "mat a on sat cat the", "new words"]
+    rows = [(i, t, i < 0) for i, t in [*zip((0, 1, 2), train), *zip((-1, -2, -3), asked)]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean")
+    got = {r["doc_id"]: r["score"] for r in context_tree.score_documents(docs, F.col("held"), block_bytes=30).collect()}
+    monkeypatch.setattr(context_tree, "keys_of", running)
+    for i, t in zip((-1, -2, -3), asked):
+        assert got[i] == pytest.approx(direct_token(t, Counter(train), context_tree.DEPTH), rel=1e-5)
+    assert got[-1] > got[-2] + 1
+
+
 def test_lm_of_odd_rows(odd, none):
     got = context_tree.score_documents(odd, F.col("doc_id") == 7).collect()
     assert len(got) == len(TEXTS) + 1
