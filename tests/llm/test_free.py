@@ -172,6 +172,31 @@ def test_decontamination_tolerates_substitution(spark, odd, none):
     assert decontaminate.clean_documents(none, benchmark).count() == 0
 
 
+def test_decontamination_of_short_items_finds_every_substitution(spark):
+    """Items of 1 to 13 words: all copies with as many words replaced as the rule admits, and none with more."""
+    items, docs, wanted = [], [], set()
+    for n in range(1, 14):
+        item = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        free = n - int(np.ceil(0.8 * n - 1e-9))
+        for k in range(min(free + 2, n + 1)):
+            for left in itertools.combinations(range(n), k):
+                words = [f"other{i}" if i in left else w for i, w in enumerate(item)]
+                if k <= free:
+                    wanted.add((len(docs), n))
+                docs.append((len(docs), " ".join(["before", *words, "after"])))
+        if n >= decontaminate.SHORT:  # cut off at the document's end, the missing words counted as replaced
+            for k in range(1, free + 1):
+                for left in itertools.combinations(range(n - k), free - k):
+                    wanted |= {(len(docs), n), (len(docs) + 1, n)}
+                    words = ["other" if i in left else w for i, w in enumerate(item[:n - k])]
+                    ends = ["other" if i in left else w for i, w in enumerate(item[k:])]
+                    docs += [(len(docs), " ".join(["before", *words])), (len(docs) + 1, " ".join([*ends, "after"]))]
+    found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                   spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == wanted
+
+
 # Toxicity
 
 def test_toxicity_separates_held_out_rows(spark):

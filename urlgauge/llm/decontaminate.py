@@ -3,8 +3,11 @@
 Words are runs of letters and digits (lower-cased; any non-ASCII character counts as one), so
 case and punctuation don't matter. A fixed mask hashes some of the words in a window and ignores the
 others; windows of a benchmark item and of a document that agree in the masked words get the
-same seed although other words were replaced. Items shorter than a mask get one more mask that
-covers exactly their length.
+same seed although other words were replaced. An item shorter than `window` gets further masks of its
+length: it is cut into two blocks more than words may be replaced, and each mask leaves out as many blocks as
+words may be replaced, so that some mask avoids the replaced words wherever they are. From SHORT words on these masks
+begin and end with a kept word, so that a copy cut off at the document's start or end, with the missing
+words counted as replaced, has a seed, too; a shorter item must lie in the document with all its length.
 
 1. The seeds of all items, with their places, are written. Two bit tables of 2^24 bits (2 MB each, a
    fixed size whatever the benchmark) say which seeds may occur.
@@ -21,6 +24,8 @@ nothing. A null text has no words. Rows that repeat are reported each. Null ids
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import Hasher, chunks, mix64, ship, text_buffer, word_spans, written
 
 MASKS = ("110100111", "1100101011", "1110010011")
+SHORT = 9
 BITS = 24
 IS_TOKEN = np.zeros(256, bool)
 IS_TOKEN[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -54,6 +60,24 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mix64(h)
 
 
+def needed(span: int, similarity: float) -> int:
+    """How many of `span` words have to agree."""
+    return int(np.ceil(similarity * span - 1e-9))
+
+
+def masks_of_length(n: int, similarity: float) -> list[tuple[str, int]]:
+    """Masks for an item of n words, and the word at which each begins: whichever words the rule lets differ, one
+    of them keeps none of these."""
+    free = min(n - needed(n, similarity), n - 1)
+    blocks = np.array_split(np.arange(n), min(n, free + 2))
+    out = []
+    for left_out in combinations(range(len(blocks)), free):
+        kept = [i for b, block in enumerate(blocks) if b not in left_out for i in block.tolist()]
+        first, last = (min(kept), max(kept)) if n >= SHORT else (0, n - 1)
+        out.append(("".join("01"[i in kept] for i in range(first, last + 1)), first))
+    return out
+
+
 def inside(first: np.ndarray, span: int, n: int) -> np.ndarray:
     """Which of n windows of `span` words lie in one row."""
     good = np.ones(n + span, bool)
@@ -76,15 +100,17 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "n", F.size("words"))
 
 
-def _item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
+def _item_seeds(items: DataFrame, masks: tuple, own: dict[int, list[tuple[str, int]]]) -> DataFrame:
+    """Seeds of all windows under `masks`, and under the masks that `own` gives for an item's length."""
     def run(batches):
         for batch in batches:
             out = []
             for item, words in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = np.array(words.values.to_numpy(zero_copy_only=False)).view(np.uint64)
                 for mask in masks:
-                    if "0" in mask or len(mask) == len(words):
-                        out += [(s, item, i, len(words)) for i, s in enumerate(seeds(words, mask).view(np.int64).tolist())]
+                    out += [(s, item, i, len(words)) for i, s in enumerate(seeds(words, mask).view(np.int64).tolist())]
+                for mask, i in own.get(len(words), ()):
+                    out.append((int(seeds(words[i:i + len(mask)], mask).view(np.int64)[0]), item, i, len(words)))
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
@@ -160,7 +186,7 @@ def _verified(pairs: DataFrame, window: int, similarity: float) -> DataFrame:
                 same[skip:skip + size] = doc[:size] == item[skip:skip + size]
                 span = min(window, len(item))
                 total = np.concatenate([[0], np.cumsum(same)])
-                good = np.flatnonzero(total[span:] - total[:-span] >= np.ceil(similarity * span - 1e-9))
+                good = np.flatnonzero(total[span:] - total[:-span] >= needed(span, similarity))
                 if len(good):
                     inside_any = np.flatnonzero(same[good[0]:good[-1] + span]) + good[0]
                     keep.append(i)
@@ -183,11 +209,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, similarity
     The words are counted from 0 in the document; `matched` counts agreeing words in the span."""
     ship(docs.sparkSession)
     items = written(_items(benchmark, "item_id", "text"), "items")
-    shortest = max(map(len, masks))
-    # Lengths below the longest mask: a handful at most.
-    lengths = [r[0] for r in items.where(F.col("n") < shortest).select("n").distinct().collect()]
-    masks = [*masks, *("1" * n for n in sorted(lengths))]
-    item_seeds = written(_item_seeds(items, masks), "seeds")
+    # Lengths below the window or the longest mask: a handful at most.
+    short = F.col("n") < max(window, *map(len, masks))
+    lengths = [r[0] for r in items.where(short).select("n").distinct().collect()]
+    own = {n: masks_of_length(n, similarity) for n in sorted(lengths)}
+    item_seeds = written(_item_seeds(items, masks, own), "seeds")
+    masks = list(dict.fromkeys([*masks, *(mask for n in own for mask, _ in own[n])]))
     rows = docs.select(F.monotonically_increasing_id().alias("row"),
                        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     candidates = written(_candidates(rows, masks, _bit_tables(item_seeds)), "candidates")
