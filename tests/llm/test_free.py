@@ -421,6 +421,44 @@ def test_skip_edges_carry_labels(spark):
     assert [s[2] for s in base] == ["phone"] and set(base) <= set(spans)
 
 
+def test_evidence_reaches_all_mentions():
+    """A chain of 200 links and a hub of 200, with evidence at one node only: exact."""
+    factors = np.full((1, 2, 2), 0.0) + np.eye(2) * 8
+    unary = np.zeros((201, 2))
+    unary[0] = 0, 12
+    chain = np.stack([np.arange(200), np.arange(1, 201)], 1)
+    hub = np.stack([np.zeros(200, int), np.arange(1, 201)], 1)
+    keep = np.tanh(4) ** np.arange(201)  # correlation over a number of links
+    strength = np.tanh(6)
+    which = np.zeros(200, np.int64)
+    assert np.allclose(pii.marginals(unary, chain, factors, which)[:, 1], (1 + strength * keep) / 2, atol=1e-4)
+    assert np.allclose(pii.marginals(unary, hub, factors, which)[1:, 1], (1 + strength * keep[1]) / 2, atol=1e-4)
+
+
+def test_messages_end_in_loops_that_swing():
+    rng = np.random.default_rng(6)
+    edges = np.array(list(itertools.combinations(range(12), 2)))
+    factors = -9.0 * np.eye(5)[None]
+    got = pii.marginals(rng.normal(size=(12, 5)), edges, factors, np.zeros(len(edges), np.int64))
+    assert np.isfinite(got).all() and np.allclose(got.sum(1), 1)
+
+
+def test_digit_groups_are_linked():
+    linked = lambda text: pii.skips(pii.tokens(text))
+    assert linked("dial 30 123 456 or 30 123 456.") == [(0, 3), (1, 4), (2, 5)]
+    assert linked("dial 30 123 456 7 times, then (30) 123 456, not 31 123 457") == [(0, 4), (1, 5), (2, 6)]
+    assert linked("dial 30123456 or 30 123 456 or 30-123-456") == [(0, 1), (0, 2), (0, 3), (1, 4), (2, 4), (3, 4)]
+    assert linked("1 2 of 3 4") == [] and linked("555-1017 and 555 1017") == [(0, 1), (0, 2)]
+
+
+def test_spans_at_all_mentions():
+    width = pii.unary_features(pii.tokens("1")).shape[1]
+    model = pii.SkipChain(np.zeros((5, width)), np.zeros(5), np.zeros((5, 5)), 12 * np.eye(5))
+    text = "call +30 (0) 555-123456 now" + ", or 555-123456 at night" * 40
+    base, spans = model.spans([text])[0]
+    assert len(base) == 1 and len(spans) == 41 and {s[2] for s in spans} == {"phone"}
+
+
 def test_pii_of_odd_rows(odd, none):
     model = pii.fit(odd)
     assert pii.digests(pii.find(odd, model)).count() == len(TEXTS) + 1

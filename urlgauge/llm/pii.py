@@ -5,10 +5,14 @@ digit or an @, with the labels none, email, ip, card and phone. Its factors:
  - a unary one from the token's shape and its neighbours' (multinomial logistic regression),
  - a chain factor between tokens that follow each other, and
  - a skip factor between distant tokens of one document that are equal or similar (equal once signs
-   and letter case are dropped), which lets evidence at one mention reach the others.
+   and letter case are dropped), which lets evidence at one mention reach the others. Digit groups next
+   to each other are one mention, too, so numbers written with spaces are linked group by group.
 The factors are trained piece by piece on the base spans of a bounded sample of documents: the unary
-factor by regression, the other two as smoothed log ratios of label pairs to chance. Marginals come from loopy message passing, a fixed number of
-damped rounds over all documents of a batch at once. Equal tokens are linked to their next mention
+factor by regression, the other two as smoothed log ratios of label pairs to chance. Marginals come from loopy message passing, in
+damped rounds over all documents of a batch at once, until no message changes by more than `TOLERANCE`. A round
+works on the messages that can still change, so evidence reaches the last of many mentions without all
+messages being computed again. Where loops keep messages swinging, a message's step is halved whenever it has
+turned back `PATIENCE` times, which ends that. Equal tokens are linked to their next mention
 only, so a token that repeats n times has n - 1 skip factors.
 
 A run of tokens with one label whose marginals all reach `SURE` becomes a span unless it meets a
@@ -33,7 +37,8 @@ from .common import ship, written
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
 SAMPLE = 20_000
-ROUNDS, DAMPING, SURE = 8, 0.3, 0.95
+TOLERANCE, PATIENCE, DAMPING, SURE = 1e-6, 20, 0.3, 0.95
+LONGEST = 19  # digits of a mention of several groups
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -97,12 +102,13 @@ class Tokens:
     end: list
     follows: list  # the token before is a candidate, too, and next to this one
     key: list
+    digits: list  # the digits of a token of digits and signs alone, else none
     shape: list
 
 
 def tokens(text: str) -> Tokens:
     """Tokens with a digit or an @, without signs at their edges, and their features."""
-    out = Tokens([], [], [], [], [])
+    out = Tokens([], [], [], [], [], [])
     if "@" not in text and not _DIGITS.search(text):
         return out
     last = -2
@@ -121,6 +127,7 @@ def tokens(text: str) -> Tokens:
         digits = _only_digits(body)
         out.key.append("#" + digits if len(digits) >= 4 and 2 * len(digits) >= len(body)
                        else re.sub(r"[^a-z0-9@]", "", body.lower()))
+        out.digits.append("" if "@" in body or any(c.isalpha() for c in body) else digits)
         out.shape.append(_shape(body, digits, word))
     return out
 
@@ -161,15 +168,40 @@ def gold(t: Tokens, spans: list) -> np.ndarray:
     return out
 
 
-def skips(t: Tokens) -> list[tuple[int, int]]:
-    """Each token with the next mention of its key; neighbours are left to the chain."""
-    last, out = {}, []
+def mentions(t: Tokens):
+    """(key, first token, end) of tokens, and of digit groups that follow each other, with keys of 4 characters or more."""
     for i, key in enumerate(t.key):
         if len(key) >= 4:
-            if key in last:
-                out.append((last[key], i))
-            last[key] = i
-    return out
+            yield key, i, i + 1
+        digits, j = t.digits[i], i + 1
+        while digits and j < len(t.key) and t.follows[j] and t.digits[j]:
+            digits += t.digits[j]
+            j += 1
+            if len(digits) > LONGEST:
+                break
+            if len(digits) >= 4:
+                yield "#" + digits, i, j
+
+
+def skips(t: Tokens) -> list[tuple[int, int]]:
+    """Each token with the next mention of its key, part by part; of the mentions that a token is in, the one
+    of most characters that has been there before counts. Neighbours are left to the chain."""
+    last, best = {}, {}
+    for key, start, end in mentions(t):
+        before, until = last.get(key, (start, start))
+        if until > start:  # it overlaps itself
+            continue
+        last[key] = start, end
+        n, m = until - before, end - start
+        if not n:
+            continue
+        found = {}
+        for part in range(max(n, m)):
+            found.setdefault(start + min(part, m - 1), []).append(before + min(part, n - 1))
+        for b, sources in found.items():
+            if len(key) > best.get(b, (0,))[0]:
+                best[b] = len(key), sources
+    return sorted((a, b) for b, (_, sources) in best.items() for a in sources)
 
 
 def _ratios(pairs: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -180,9 +212,9 @@ def _ratios(pairs: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 
 def marginals(unary: np.ndarray, edges: np.ndarray, factors: np.ndarray, which: np.ndarray,
-              rounds: int = ROUNDS, damping: float = DAMPING) -> np.ndarray:
+              rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE) -> np.ndarray:
     """Loopy sum-product. unary: nodes x labels, log; edges: (a, b) pairs; factors[which[e]][label of
-    a, label of b], log. Exact on trees if `rounds` covers their diameter and damping is 0."""
+    a, label of b], log. Runs until the messages settle, or for `rounds` at most. Exact on trees."""
     n, k = unary.shape
     if not len(edges):
         return _softmax(unary)
@@ -190,19 +222,32 @@ def marginals(unary: np.ndarray, edges: np.ndarray, factors: np.ndarray, which:
     target = np.concatenate([edges[:, 1], edges[:, 0]])
     m = len(edges)
     back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-    table = np.concatenate([factors[which], factors[which].transpose(0, 2, 1)])
-    messages = np.zeros((2 * m, k))
-    for _ in range(rounds):
-        belief = unary.copy()
-        np.add.at(belief, target, messages)
-        cavity = belief[source] - messages[back]
-        scores = cavity[:, :, None] + table
+    kind = np.concatenate([which, which + len(factors)])
+    table = np.concatenate([factors, factors.transpose(0, 2, 1)])
+    leaving = np.argsort(source, kind="stable")
+    first = np.searchsorted(source[leaving], np.arange(n + 1))
+    messages, belief = np.zeros((2 * m, k)), unary.astype(np.float64)
+    latest, turns = np.zeros((2 * m, k)), np.zeros(2 * m, np.int64)
+    active, done = np.arange(2 * m), 0
+    while len(active) and (rounds is None or done < rounds):
+        done += 1
+        cavity = belief[source[active]] - messages[back[active]]
+        scores = cavity[:, :, None] + table[kind[active]]
         top = scores.max(1, keepdims=True)
         new = np.log(np.exp(scores - top).sum(1)) + top[:, 0]
         new -= new.max(1, keepdims=True)
-        messages = damping * messages + (1 - damping) * new
-    belief = unary.copy()
-    np.add.at(belief, target, messages)
+        step = (1 - damping) * 0.5 ** (turns[active] // PATIENCE)
+        change = step[:, None] * (new - messages[active])
+        messages[active] += change
+        np.add.at(belief, target[active], change)
+        turns[active] += (change * latest[active] < 0).any(1)
+        latest[active] = change
+        moved = active[np.abs(change).max(1) > tolerance]
+        # What moved may move on, and so may the messages that leave its targets.
+        at = np.unique(target[moved])
+        sizes = first[at + 1] - first[at]
+        out = np.repeat(first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        active = np.unique(np.concatenate([moved, leaving[out]]))
     return _softmax(belief)
 
 
