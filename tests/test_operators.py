@@ -135,6 +135,34 @@ def test_silhouette_by_definition(spark):
         assert got[i] == pytest.approx((b - a) / max(a, b))
 
 
+def test_silhouette_takes_all_rows_in_blocks(spark, tmp_path):
+    from urlgauge.catalog import registry
+
+    rng = np.random.default_rng(8)
+    points, owners = rng.normal(size=(10_050, 2)).round(2), rng.integers(0, 3, 10_050)
+    points[:60] = points[0]  # equal vectors
+    spark.createDataFrame(
+        [(i, points[i].tolist(), int(owners[i])) for i in range(len(points))],
+        "vec_id bigint, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r["silhouette"] for r in registry.QUERIES["e22_silhouette_rows"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(points)
+    for i in [*range(0, 60, 20), *range(60, len(points), 500)]:
+        away = np.linalg.norm(points - points[i], axis=1)
+        a = away[owners == owners[i]].sum() / ((owners == owners[i]).sum() - 1)
+        b = min(away[owners == o].mean() for o in {0, 1, 2} - {owners[i]})
+        assert got[i] == pytest.approx((b - a) / max(a, b), abs=1e-6)
+    mean = registry.QUERIES["e22_silhouette"](spark, str(tmp_path)).first()[0]
+    assert mean == pytest.approx(np.mean(list(got.values())), abs=1e-6)
+
+
+def test_silhouette_does_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist(), i % 4) for i in range(90)],
+                               "i int, values array<double>, cluster int")
+    whole, parts = ({r["i"]: r["silhouette"] for r in cluster.silhouette_rows(df, block=n).collect()} for n in (90, 20))
+    assert whole == pytest.approx(parts) and len(whole) == 90
+
+
 def test_best_k_from_published_table(spark):
     rows = [(2, 0.20451969577028636), (3, 0.2397788044536081), (4, 0.18360595742614821), (5, 0.23092436763889054)]
     table = spark.createDataFrame(rows + [(6, None)], "k int, silhouette_estimate double")

@@ -420,14 +420,12 @@ widths as (select vec_id, case when a is null then 0 else (b - a) / greatest(a,
 
 @query("e22_silhouette", f"with {SILHOUETTE.strip()} select round(avg(width), 6) as silhouette from widths")
 def e22(spark, sf_dir):
-    sample = sampling.fixed_sample(clustered(spark, sf_dir), "vec_id", 10_000)
-    return cluster.mean_silhouette(sample).select(F.round("silhouette", 6).alias("silhouette"))
+    return cluster.mean_silhouette(clustered(spark, sf_dir)).select(F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("e22_silhouette_rows", f"with {SILHOUETTE.strip()} select vec_id, round(width, 6) as silhouette from widths")
 def e22_rows(spark, sf_dir):
-    sample = sampling.fixed_sample(clustered(spark, sf_dir), "vec_id", 10_000)
-    return cluster.silhouette_rows(sample).select("vec_id", F.round("silhouette", 6).alias("silhouette"))
+    return cluster.silhouette_rows(clustered(spark, sf_dir)).select("vec_id", F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("e23_dashboard", S.with_(S.HISTORY, f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,7 @@ from .. import constants as K
 from ..plans import ordered
 from . import sampling
 
-MAX_SILHOUETTE_SAMPLE = 10_000
+SILHOUETTE_BLOCK = 10_000
 ORDER = K.COUNT_FEATURES + K.OTHER_FEATURES + K.FLAG_FEATURES
 
 
@@ -139,50 +141,78 @@ def representatives(df: DataFrame, row: str, count: int = 3) -> DataFrame:
     return best.withColumn("example_rank", rank)
 
 
-def silhouette_rows(sample: DataFrame, values: str = "values", cluster: str = "cluster") -> DataFrame:
-    """Silhouette of every row of a bounded sample (Euclidean).
-
-    The sample is the operator's fixed-size input and its size is checked. Each task
-    compares its own rows with the shared sample and emits one value per row, so no
-    pair is ever materialised.
-    """
-    held = sample.select(F.col(values).alias("v"), F.col(cluster).alias("c")).limit(
-        MAX_SILHOUETTE_SAMPLE + 1).toPandas()
-    if len(held) > MAX_SILHOUETTE_SAMPLE:
-        raise ValueError(f"Take a sample of at most {MAX_SILHOUETTE_SAMPLE} rows first")
+def _distances(points, rows):
+    """Euclidean distances, points down. Where the product form would cancel, they are taken from differences."""
     import numpy as np
 
-    matrix = np.array(held["v"].tolist(), dtype="float64")
-    labels = held["c"].to_numpy()
-    shared = sample.sparkSession.sparkContext.broadcast((matrix, labels))
-
-    def score(batches):
+    squares = (points ** 2).sum(1)[:, None] + (rows ** 2).sum(1)
+    out = squares - 2 * (points @ rows.T)
+    close = np.nonzero(~(out > 1e-4 * squares))
+    for at in range(0, len(close[0]), 1 << 16):
+        i, j = close[0][at:at + (1 << 16)], close[1][at:at + (1 << 16)]
+        out[i, j] = ((points[i] - rows[j]) ** 2).sum(1)
+    return np.sqrt(out, out=out)
+
+
+def silhouette_rows(df: DataFrame, values: str = "values", cluster: str = "cluster",
+                    block: int | None = None) -> DataFrame:
+    """Silhouette of every row against all rows (Euclidean).
+
+    The rows are asked about in blocks of about `block`, one at a time: a block is shared with all tasks, each
+    task sums its own rows' distances to it per cluster, and the sums are added up. So no pair is
+    materialised, and the driver holds one block. The work grows with the square of the rows.
+    Rows of a cluster of one have 0; without a second cluster there is none."""
+    spark = df.sparkSession
+    held = ordered.cut(df.repartition(spark.sparkContext.defaultParallelism).withColumn(
+        "_row", F.monotonically_increasing_id()))
+    blocks = max(1, ceil(held.count() / (block or SILHOUETTE_BLOCK)))
+    kind = held.schema[cluster].dataType.simpleString()
+
+    def sums_to(ids, points):
         import numpy as np
-
-        points, owners = shared.value
-        names, index = np.unique(owners, return_inverse=True)
-        counts = np.bincount(index)
-        member = np.eye(len(names))[index]
-        for batch in batches:
-            own = np.searchsorted(names, batch[cluster].to_numpy())
-            rows = np.array(batch[values].tolist(), dtype="float64").reshape(len(batch), -1)
-            sums = np.empty((len(batch), len(names)))
-            for at in range(len(batch)):
-                sums[at] = np.sqrt(((points - rows[at]) ** 2).sum(axis=1)) @ member
-            here = np.arange(len(batch))
-            a = sums[here, own] / np.maximum(counts[own] - 1, 1)
-            others = sums / counts
-            others[here, own] = np.inf
-            b = others.min(axis=1)
-            top = np.maximum(a, b)
-            width = np.where((counts[own] > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0)
-            batch["silhouette"] = width
-            yield batch[keep + ["silhouette"]]
-
-    keep = [c for c in sample.columns if c != values]
-    schema = sample.drop(values).schema.add("silhouette", "double")
-    return sample.repartition(sample.sparkSession.sparkContext.defaultParallelism).mapInPandas(
-        score, schema)
+        import pandas as pd
+
+        shared = spark.sparkContext.broadcast((ids, points))
+
+        def run(batches):
+            ids, points = shared.value
+            totals = {}
+            for batch in batches:
+                for name, part in batch.groupby(cluster, dropna=False):
+                    rows = np.array(part[values].tolist(), dtype="float64").reshape(len(part), -1)
+                    total = totals.setdefault(None if pd.isna(name) else name, np.zeros(len(ids)))
+                    for at in range(0, len(rows), 256):
+                        total += _distances(points, rows[at:at + 256]).sum(1)
+            for name, total in totals.items():
+                yield pd.DataFrame({"_row": ids, "_other": pd.Series([name] * len(ids), dtype=object), "_total": total})
+
+        found = ordered.cut(held.select(values, cluster).mapInPandas(
+            run, f"_row bigint, _other {kind}, _total double").groupBy("_row", "_other").agg(
+            F.sum("_total").alias("_total")))
+        shared.destroy()
+        return found
+
+    sums = None
+    for number in range(blocks):
+        asked = held.where(F.pmod(F.xxhash64("_row"), F.lit(blocks)) == number).select("_row", values).toPandas()
+        if len(asked):
+            import numpy as np
+
+            points = np.array(asked[values].tolist(), dtype="float64").reshape(len(asked), -1)
+            part = sums_to(asked["_row"].to_numpy(), points)
+            sums = part if sums is None else sums.unionByName(part)
+    if sums is None:
+        return df.drop(values).withColumn("silhouette", F.lit(None).cast("double"))
+    counts = held.groupBy(F.col(cluster).alias("_other")).agg(F.count("*").alias("_n"))
+    own = F.col(cluster) == F.col("_other")
+    # As in SQL, rows without a cluster are neither of a row's own cluster nor of another.
+    parts = held.select("_row", cluster).join(sums, "_row").join(counts, "_other")
+    widths = parts.groupBy("_row").agg(
+        F.max(F.when(own & (F.col("_n") > 1), F.col("_total") / (F.col("_n") - 1))).alias("_a"),
+        F.min(F.when(~own, F.col("_total") / F.col("_n"))).alias("_b"))
+    top = F.greatest("_a", "_b")
+    width = F.when(F.col("_a").isNull() | (top == 0), 0.0).otherwise((F.col("_b") - F.col("_a")) / top)
+    return held.drop(values).join(widths, "_row", "left").withColumn("silhouette", width).drop("_row", "_a", "_b")
 
 
 def mean_silhouette(sample: DataFrame, values: str = "values", cluster: str = "cluster") -> DataFrame:
