@@ -528,6 +528,19 @@ def test_licence_query(spark, sf_dir, texts):
         assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
 
 
+def test_licence_query_evaluates_operators(spark, tmp_path):
+    tag = "SPDX-License-Identifier: "
+    texts = [tag + "MIT AND GPL-2.0", tag + "MIT OR GPL-2.0", f"{tag}ISC\n{tag}GPL-2.0 AND (MIT OR ISC)\n{tag}OR", "none", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op10_licences(spark, str(tmp_path)).collect()}
+    assert got[0]["labels"] == got[1]["labels"] == "gpl-2.0,mit"
+    assert [got[i]["required"] for i in range(5)] == ["gpl-2.0,mit", "", "isc;gpl-2.0", "", ""]
+    assert [got[i]["permitted"] for i in range(5)] == ["false", "true", "true;false", "", ""]
+    plain = {r["doc_id"]: r for r in licences.scan_documents(docs).collect()}
+    assert plain[2]["required"] == ["isc", "gpl-2.0"] and plain[2]["permitted"] is None
+
+
 def test_licences_of_odd_rows(odd, none):
     assert licences.scan_documents(odd).count() == len(TEXTS) + 1
     assert licences.scan_documents(none).count() == 0

@@ -10,7 +10,8 @@ one), joined by single spaces. One automaton finds, in one pass,
 
 An expression is evaluated to the licences that it names, to those that every choice needs, or to
 whether a set of accepted licences satisfies it; each takes one pass, however many choices there are. Labels
-are all licences named. The score is the strongest evidence: 1 for a valid tag, 0.9 for a notice, 0.6 for a
+are all licences named; `required` and `permitted` say of each expression found what the other two
+evaluations give. The score is the strongest evidence: 1 for a valid tag, 0.9 for a notice, 0.6 for a
 base phrase alone, 0 for none.
 
 A null or empty text has no words and no labels. Repeated rows and null ids get the same result as any.
@@ -129,8 +130,15 @@ def licences(expression: str) -> set[str]:
 
 def required(expression: str) -> frozenset[str]:
     """The licences that apply whichever alternatives are chosen."""
-    return evaluate(expression, lambda name: frozenset([name]),
-                    lambda operator, a, b: a | b if operator == "and" else a & b)
+    def join(operator, a, b):
+        if len(a) < len(b):
+            a, b = b, a
+        if operator != "and":
+            return a & b
+        a |= b  # the smaller into the larger: long expressions are not copied at each operator
+        return a
+
+    return frozenset(evaluate(expression, lambda name: {name}, join))
 
 
 def permitted(expression: str, accepted: set[str]) -> bool:
@@ -214,18 +222,25 @@ def scan(text: str | None, a) -> tuple:
 
 
 SCHEMA = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
-          "labels string, score double, expressions array<string>")
+          "labels string, score double, expressions array<string>, required array<string>, permitted array<boolean>")
 
 
-def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id and the columns of SCHEMA. `expressions` are the valid ones found."""
+def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   accepted: set[str] | None = None) -> DataFrame:
+    """One row per document: doc_id and the columns of SCHEMA. `expressions` are the valid ones found. For each,
+    `required` has the licences that apply whichever alternatives are chosen (sorted, joined by commas), and
+    `permitted` whether the licences `accepted` (lower-cased names) suffice; null without such a set."""
     ship(docs.sparkSession)
     def run(batches):
         a = automaton()
-        types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.string())]
+        types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), *[pa.list_(pa.string())] * 2, pa.list_(pa.bool_())]
         names = ["doc_id", *(c.split()[0] for c in SCHEMA.split(", "))]
         for batch in batches:
-            rows = [scan(t.as_py(), a) for t in batch.column(1)]
+            rows = []
+            for t in batch.column(1):
+                found = scan(t.as_py(), a)
+                always = [",".join(sorted(required(e))) for e in found[-1]]
+                rows.append((*found, always, None if accepted is None else [permitted(e, accepted) for e in found[-1]]))
             columns = list(zip(*rows)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], names)

@@ -10,6 +10,10 @@ from . import (chat, context_tree, decontaminate, exact_dedup, licences, mixing,
                toxicity)
 
 
+#: Licences that the licence query takes as accepted.
+ACCEPTED = {"mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,7 +76,10 @@ def op9_decontaminate(spark, sf_dir):
 
 
 def op10_licences(spark, sf_dir):
-    return licences.scan_documents(_table(spark, sf_dir, "documents")).drop("expressions")
+    """`required` and `permitted` have one entry for each expression, joined by semicolons."""
+    found = licences.scan_documents(_table(spark, sf_dir, "documents"), accepted=ACCEPTED)
+    return found.drop("expressions").withColumn("required", F.array_join("required", ";")).withColumn(
+        "permitted", F.array_join(F.transform("permitted", lambda p: p.cast("string")), ";"))
 
 
 def pipeline(spark, sf_dir):
