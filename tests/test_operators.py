@@ -163,6 +163,24 @@ def test_silhouette_does_not_depend_on_blocks(spark):
     assert whole == pytest.approx(parts) and len(whole) == 90
 
 
+@pytest.mark.parametrize("length,label,failing", [
+    (64, 9, ()), (64, 10, ("e20_difference_pivot",)), (64, None, ("e20_difference_pivot",)),
+    *[(n, 9, ("e19_cluster_profile", "e20_difference_pivot", "f04_top_features")) for n in (63, 65)]])
+def test_other_lengths_and_clusters_are_errors(spark, tmp_path, length, label, failing):
+    from urlgauge.catalog import registry
+
+    rows = [(i, [float(i * j % 7) for j in range(64)], i % 2) for i in range(6)] + [(6, [1.0] * length, label)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    for name in ("e19_cluster_profile", "e20_difference_pivot", "f04_top_features"):
+        query = registry.QUERIES[name]
+        if name in failing:
+            with pytest.raises(Exception, match="Expected vectors|No column for cluster"):
+                query(spark, str(tmp_path)).collect()
+        else:
+            assert query(spark, str(tmp_path)).count()
+
+
 def test_best_k_from_published_table(spark):
     rows = [(2, 0.20451969577028636), (3, 0.2397788044536081), (4, 0.18360595742614821), (5, 0.23092436763889054)]
     table = spark.createDataFrame(rows + [(6, None)], "k int, silhouette_estimate double")

@@ -58,8 +58,14 @@ def clustered(spark, sf_dir):
 DIMS = 64
 
 
+CLUSTERS = range(10)
+
+
 def wide_clusters(spark, sf_dir):
-    rows = clustered(spark, sf_dir)
+    """One column per value; a vector of another length than the queries' is an error."""
+    values = F.when(F.size("values") == DIMS, F.col("values")).otherwise(
+        F.raise_error(F.lit(f"Expected vectors of {DIMS} values")))
+    rows = clustered(spark, sf_dir).withColumn("values", values)
     return rows.select("vec_id", "cluster", F.lit(1).alias("label"), *[
         F.col("values")[i].alias(f"f{i:02d}") for i in range(DIMS)])
 
@@ -406,8 +412,11 @@ def e19(spark, sf_dir):
 @query("e20_difference_pivot", S.with_(PROFILE, "select feature, " + ", ".join(
     f"round(max(case when cluster = {c} then d end), 6) as c{c}" for c in range(10)) + " from ranked group by feature"))
 def e20(spark, sf_dir):
-    table = cluster.difference_table(profile_rows(spark, sf_dir), list(range(10)))
-    return table.select("feature", *[F.round(F.col(f"`{c}`"), 6).alias(f"c{c}") for c in range(10)])
+    rows = profile_rows(spark, sf_dir).withColumn("cluster", F.when(
+        F.col("cluster").isin(*CLUSTERS), F.col("cluster")).otherwise(
+        F.raise_error(F.concat(F.lit("No column for cluster "), F.coalesce(F.col("cluster").cast("string"), F.lit("null"))))))
+    table = cluster.difference_table(rows, list(CLUSTERS))
+    return table.select("feature", *[F.round(F.col(f"`{c}`"), 6).alias(f"c{c}") for c in CLUSTERS])
 
 
 SILHOUETTE = """
