@@ -118,23 +118,24 @@ def build(docs: DataFrame, presented: Column | None = None) -> Manifest:
 
 
 #: `climb` starts with a row for each run of leaves, already folded into the run's node, or for a leaf that is a subroot.
+#: The siblings it carries are bytes, half as long as the digests' text.
 CLIMB = """
-with recursive climb(leaves, above, subroot, root, parent, place) as (
-  select leaves, above, subroot, digest, parent, place from {starts}
+with recursive climb(run, folds, above, subroot, root, parent, place) as (
+  select node, folds, above, subroot, digest, parent, place from {starts}
   union all
-  select transform(c.leaves, l -> named_struct('doc_id', l.doc_id, 'leaf', l.leaf, 'fold', sha2(concat(
-           array_join(slice(n.children, 1, c.place), ''), l.fold,
-           array_join(slice(n.children, c.place + 2, {fan}), '')), 256))),
-         concat(c.above, array_join(slice(n.children, 1, c.place), ''),
-           array_join(slice(n.children, c.place + 2, {fan}), '')),
+  select c.run,
+         transform(c.folds, f -> sha2(concat(array_join(slice(n.children, 1, c.place), ''), f,
+           array_join(slice(n.children, c.place + 2, {fan}), '')), 256)),
+         concat(c.above, unhex(array_join(slice(n.children, 1, c.place), '')),
+           unhex(array_join(slice(n.children, c.place + 2, {fan}), ''))),
          coalesce(c.subroot, if(n.tree = {top}, element_at(n.children, c.place + 1), cast(null as string))),
          n.digest, n.parent, n.place
   from climb c join {nodes} n on c.parent = n.node)
-select leaves, above, coalesce(subroot, root) as subroot, root from climb where parent is null"""
+select run, folds, above, coalesce(subroot, root) as subroot, root from climb where parent is null"""
 
 
 def _starts(manifest: Manifest) -> DataFrame:
-    """Runs of leaves at their own node: the presented digests are folded into the run, each at its own place."""
+    """Runs of leaves at their own node: `leaves` (doc_id, leaf), and `folds`, each leaf's presented digest folded into the run."""
     rows = manifest.leaves
     node = F.when(F.col("total") > 1, _name(F.col("tree"), F.lit(1), F.expr(f"number div {FAN}"))).otherwise(
         _name(F.col("tree"), F.lit(0), F.col("number")))
@@ -145,35 +146,36 @@ def _starts(manifest: Manifest) -> DataFrame:
     def folded(row: Column, at: Column) -> Column:
         others = (F.concat_ws("", F.slice("own", 1, at)), F.concat_ws("", F.slice("own", at + 2, FAN)))
         shown = F.coalesce(row["claim"], row["digest"])
-        fold = F.when(F.size("own") > 1, F.sha2(F.concat(others[0], shown, others[1]), 256)).otherwise(
-            F.when(F.size(F.col("children")) > 0, F.sha2(shown, 256)).otherwise(shown))
-        return F.struct(row["doc_id"].alias("doc_id"), row["digest"].alias("leaf"), fold.alias("fold"))
+        return F.when(F.size("children") > 0, F.sha2(F.concat(others[0], shown, others[1]), 256)).otherwise(shown)
 
     met = packs.join(manifest.nodes, "node")
-    return met.select(F.transform("run", folded).alias("leaves"), F.lit("").alias("above"),
+    leaves = F.transform("run", lambda row: F.struct(row["doc_id"].alias("doc_id"), row["digest"].alias("leaf")))
+    return met.select("node", leaves.alias("leaves"), F.transform("run", folded).alias("folds"), F.lit(b"").alias("above"),
                       F.lit(None).cast("string").alias("subroot"), "digest", "parent", "place")
 
 
 def climb(manifest: Manifest) -> DataFrame:
-    """One row per run of leaves at the root: `leaves` (doc_id, leaf, fold), the siblings above their run, subroot, root."""
+    """One row per run of leaves, at the root: its `leaves` (doc_id, leaf) and their `folds`, the siblings `above` the run
+    as bytes, subroot, root."""
     spark = manifest.nodes.sparkSession
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
     starts = written(_starts(manifest), "merkle-starts")
     spark.conf.set(limit, "-1")  # the climb has a row per run and level, however many there are
     try:
-        return written(spark.sql(CLIMB.replace("{fan}", str(FAN)).replace("{top}", f"'{TOP}'"),
-                                 starts=starts, nodes=manifest.nodes), "merkle-climb")
+        at_root = written(spark.sql(CLIMB.replace("{fan}", str(FAN)).replace("{top}", f"'{TOP}'"),
+                                    starts=starts, nodes=manifest.nodes), "merkle-climb")
     finally:
         spark.conf.set(limit, before)
+    return at_root.join(starts.select(F.col("node").alias("run"), "leaves"), "run")
 
 
 def verify(docs: DataFrame, presented: Column | None = None) -> DataFrame:
     """Per row: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    at_root = climb(build(docs, presented))
-    one = F.posexplode("leaves").alias("at", "l")
-    own = F.concat(F.array_join(F.slice("runs", 1, F.col("at")), ""),
-                   F.array_join(F.slice("runs", F.col("at") + 2, FAN), ""))
-    return at_root.select("*", F.col("leaves.leaf").alias("runs")).select("*", one).select(
-        "l.doc_id", "l.leaf", "subroot", "root", F.sha2(F.concat(own, "above"), 256).alias("proof_sha256"),
-        F.col("l.fold").alias("folded_root"), (F.col("l.fold") == F.col("root")).alias("verified"))
+    at_root = climb(build(docs, presented)).withColumn("digests", F.col("leaves.leaf"))
+    own = F.concat(F.array_join(F.slice("digests", 1, F.col("at")), ""),
+                   F.array_join(F.slice("digests", F.col("at") + 2, FAN), ""))
+    return at_root.select("*", F.posexplode(F.arrays_zip("leaves", "folds")).alias("at", "l")).select(
+        "l.leaves.doc_id", "l.leaves.leaf", "subroot", "root",
+        F.sha2(F.concat(own, F.lower(F.hex("above"))), 256).alias("proof_sha256"),
+        F.col("l.folds").alias("folded_root"), (F.col("l.folds") == F.col("root")).alias("verified"))
