@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -46,9 +48,27 @@ def working_folder(spark: SparkSession) -> str:
     return _folders[sc.applicationId]
 
 
+_passing = threading.local()
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Remove what `cut` writes inside, in this thread, at the end. Results must be written by then."""
+    before = getattr(_passing, "paths", None)
+    _passing.paths = []
+    try:
+        yield
+    finally:
+        for path in _passing.paths:
+            _remove(spark, path)
+        _passing.paths = before
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the working folder and read it back: columns can be pruned, sizes are known."""
     path = f"{working_folder(df.sparkSession)}/{uuid4().hex}"
+    if getattr(_passing, "paths", None) is not None:
+        _passing.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
