@@ -19,8 +19,8 @@ from .registry import query
 from .table_queries import DIMS, GROUPED, labelled_groups
 
 SMALL = models.Settings(
-    logistic_iterations=50, forest_trees=10, forest_depth=6, boosted_rounds=8, boosted_rate=0.3,
-    boosted_depth=4, additive_rounds=10, additive_rate=0.3, additive_bins=32)
+    forest_trees=20, forest_depth=10, boosted_rounds=20, boosted_rate=0.5, boosted_patience=3,
+    additive_rounds=12, additive_rate=0.5)
 
 
 def table(spark, sf_dir):
@@ -56,7 +56,7 @@ def fitted(spark, sf_dir, name):
 
 def additive(spark, sf_dir):
     return I.held(spark, sf_dir, "additive_shapes", lambda s, d: explain.build(
-        fitted(s, d, "additive"), train_rows(s, d), scratch.folder(s, "nodes")))
+        fitted(s, d, "additive"), train_rows(s, d)))
 
 
 def scored(spark, sf_dir, name, rows=None):

@@ -119,6 +119,7 @@ FORM_MESSAGES = {
     "USERINFO": "URLs containing embedded usernames or passwords are not supported.",
     "INVALID": "Enter a valid URL, including https:// or http://.",
 }
+SCORE_MESSAGE = "The saved model returned an invalid score."
 MAX_URL_LENGTH = 8192
 MAX_REQUEST_LENGTH = 2048
 

@@ -1,124 +1,100 @@
 """The additive model as a table of step functions, and exact local contributions.
 
-A tree of depth two is a sum of two parts, one per side of its root, and each part
-depends on the root's feature and at most one more. Adding up all parts by feature
-set gives one step function per term, so a row's log odds are the base value plus
-one looked-up number per term.
+A model is one row of arrays: every term's scores by cell, and every feature's steps. The row is broadcast and joined by
+the model's key, so plans don't grow with bins or rounds. A row's log odds are the base value plus one looked-up
+number per term.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import factorial
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..functions import cards, features, urls
-from . import models
+from ..plans import workers
+from . import ensembles, models
+
+#: Whole-number features find their cell in a table by value up to this threshold; others count the steps below.
+LOOKED_UP = 1 << 16
 
 
 @dataclass
 class Additive:
-    """thresholds per feature; per term its features and a grid of centred scores."""
+    """Thresholds per feature; per term its features and a grid of centred scores."""
 
     features: list[str]
     thresholds: dict[str, list[float]]
     terms: list[tuple[tuple[str, ...], np.ndarray]]
     base: float
+    pair_thresholds: dict[str, list[float]] | None = None  # of terms with two features, if they are others
 
     def name(self, index: int) -> str:
         return " & ".join(self.terms[index][0])
 
+    def edges(self, key: tuple[str, ...]) -> list[list[float]]:
+        """The thresholds of each axis of a term's grid."""
+        steps = self.thresholds if len(key) == 1 or self.pair_thresholds is None else self.pair_thresholds
+        return [list(steps.get(n, [])) for n in key]
 
-def node_table(model: models.Fitted, folder: str, spark) -> DataFrame:
-    """Nodes of the saved boosted stage as rows; (tree, node) is unique."""
-    model.pipeline.stages[-1].write().overwrite().save(folder)
-    weights = [float(w) for w in model.pipeline.stages[-1].treeWeights]
-    data = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*")
-    weight = F.element_at(_numbers(weights), F.col("treeID") + 1)
-    return data.select(
-        F.col("treeID").alias("tree"), F.col("id").alias("node"), "prediction", "gain",
-        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
-        F.col("split.featureIndex").alias("feature"),
-        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"), weight.alias("weight"))
-
-
-def shapes(nodes: DataFrame, names: list[str]) -> Additive:
-    """Collect the model's nodes (rounds times at most seven) and add them up by term."""
-    trees: dict[int, dict[int, dict]] = {}
-    for row in nodes.collect():
-        trees.setdefault(row["tree"], {})[row["node"]] = row.asDict()
-    boxes: dict[tuple[str, ...], list] = {}
-    cuts: dict[str, set[float]] = {n: set() for n in names}
-    base = 0.0
-
-    def limits(node, side):
-        cuts[names[node["feature"]]].add(node["threshold"])
-        return names[node["feature"]], node["threshold"], side
-
-    for tree in trees.values():
-        root = tree[0]
-        scale = 2.0 * root["weight"]
-        if root["left"] < 0:
-            base += scale * root["prediction"]
-            continue
-        for side in ("left", "right"):
-            child = tree[root[side]]
-            outer = limits(root, side)
-            if child["left"] < 0:
-                boxes.setdefault((outer[0],), []).append(([outer], scale * child["prediction"]))
-                continue
-            for inner_side in ("left", "right"):
-                leaf = tree[child[inner_side]]
-                if leaf["left"] >= 0:
-                    raise ValueError("The additive model needs trees of depth two at most")
-                inner = limits(child, inner_side)
-                key = tuple(n for n in names if n in (outer[0], inner[0]))
-                boxes.setdefault(key, []).append(([outer, inner], scale * leaf["prediction"]))
-    grid = {n: sorted(c) for n, c in cuts.items()}
-    position = {n: {t: i for i, t in enumerate(ts)} for n, ts in grid.items()}
-    terms = []
-    for key in sorted(boxes, key=lambda k: (len(k), [names.index(n) for n in k])):
-        cells = np.zeros([len(grid[n]) + 1 for n in key])
-        for bounds, value in boxes[key]:
-            low = {n: 0 for n in key}
-            high = {n: len(grid[n]) + 1 for n in key}
-            for name, threshold, side in bounds:
-                edge = position[name][threshold] + 1
-                if side == "left":
-                    high[name] = min(high[name], edge)
-                else:
-                    low[name] = max(low[name], edge)
-            cells[tuple(slice(low[n], max(low[n], high[n])) for n in key)] += value
-        terms.append((key, cells))
-    return Additive(list(names), grid, terms, base)
-
-
-def _numbers(values) -> Column:
-    """A constant array of doubles; one text literal keeps the plan small."""
-    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
-
-
-def _cell(model: Additive, name: str) -> Column:
-    """How many thresholds lie below the value: the step the value stands on."""
-    steps = model.thresholds[name]
-    if not steps:
-        return F.lit(0)
-    return F.size(F.filter(_numbers(steps), lambda t: t < F.col(name)))
 
+def from_fit(fitted: models.Fitted) -> Additive:
+    """Shapes of a model just fitted, not centred yet. Features with a single bin have no term."""
+    cuts, fit, names = fitted.extra["cuts"], fitted.extra["fit"], fitted.features
+    terms = [((n,), fit.main[i, :len(cuts[n]) + 1]) for i, n in enumerate(names) if cuts[n]]
+    terms += [((names[a], names[b]), s) for (a, b), s in zip(fit.pairs, fit.pair_scores)]
+    coarse = {n: [cuts[n][b] for b in ensembles.ends(fit.coarse[i])] for i, n in enumerate(names)}
+    return Additive(list(names), cuts, terms, fit.base, coarse)
 
-def with_terms(df: DataFrame, model: Additive) -> DataFrame:
-    """Add one double column t_<i> per term."""
-    used = sorted({n for key, _ in model.terms for n in key}, key=model.features.index)
-    df = df.withColumns({"_cell_" + n: _cell(model, n) for n in used})
+
+def _axes(model: Additive) -> list[tuple[str, bool]]:
+    """Every (feature, in a pair) that some term uses; both kinds are one if they have the same thresholds."""
+    return sorted({(n, len(key) > 1 and model.pair_thresholds is not None) for key, _ in model.terms for n in key},
+                  key=lambda a: (model.features.index(a[0]), a[1]))
+
+
+_ROW = "_key int, _scores array<array<double>>, _steps array<array<double>>, _places array<array<int>>"
+
+
+def model_row(spark: SparkSession, model: Additive) -> DataFrame:
+    """The model as one row: scores by term, steps by axis, and the cell of each whole number by axis."""
+    steps = [[float(t) for t in (model.pair_thresholds if pair else model.thresholds)[n]] for n, pair in _axes(model)]
+    places = [np.searchsorted(s, np.arange(int(s[-1]) + 2), "left").tolist() if s and 0 <= s[0] and s[-1] < LOOKED_UP else []
+              for s in steps]
+    scores = [[float(c) for c in cells.ravel()] for _, cells in model.terms]
+    return spark.createDataFrame([(0, scores, steps, places)], _ROW)
+
+
+def with_cells(df: DataFrame, model: Additive) -> DataFrame:
+    """Add the model's row and c_<i>, the number of the cell of term i that the example is in."""
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    looked = df.withColumn("_key", F.lit(0)).join(F.broadcast(model_row(df.sparkSession, model)), "_key")  # one row
+    axes = {}
+    for number, (name, pair) in enumerate(_axes(model)):
+        steps, places = F.get("_steps", F.lit(number)), F.get("_places", F.lit(number))
+        found = F.size(F.filter(steps, lambda t: t < F.col(name)))
+        if name in whole:
+            at = F.least(F.greatest(F.col(name).cast("int"), F.lit(0)), F.size(places) - 1)
+            found = F.when(F.size(places) > 0, F.get(places, at)).otherwise(found)
+        axes[name, pair] = f"_axis_{number}"
+        looked = looked.withColumn(f"_axis_{number}", found)
     made = {}
     for index, (key, cells) in enumerate(model.terms):
         at = F.lit(0)
         for name, size in zip(key, cells.shape):
-            at = at * size + F.col("_cell_" + name)
-        made[f"t_{index}"] = F.element_at(_numbers(cells.ravel()), at + 1)
-    return df.withColumns(made).drop(*["_cell_" + n for n in used])
+            at = at * size + F.col(axes[name, len(key) > 1 and model.pair_thresholds is not None])
+        made[f"c_{index}"] = at
+    return looked.withColumns(made).drop("_key", "_steps", "_places", *axes.values())
+
+
+def with_terms(df: DataFrame, model: Additive) -> DataFrame:
+    """Add one double column t_<i> per term."""
+    numbers = range(len(model.terms))
+    return with_cells(df, model).withColumns({
+        f"t_{i}": F.get(F.get("_scores", F.lit(i)), F.col(f"c_{i}")) for i in numbers}).drop("_scores", *[f"c_{i}" for i in numbers])
 
 
 def centred(model: Additive, train: DataFrame) -> Additive:
@@ -128,13 +104,12 @@ def centred(model: Additive, train: DataFrame) -> Additive:
     means = rows.agg(*[(F.sum(F.col("weight") * F.col(f"t_{i}")) / total).alias(f"m_{i}")
                        for i in range(len(model.terms))]).first()
     terms = [(key, cells - means[f"m_{i}"]) for i, (key, cells) in enumerate(model.terms)]
-    return Additive(model.features, model.thresholds, terms, model.base + sum(means))
+    return Additive(model.features, model.thresholds, terms, model.base + sum(means), model.pair_thresholds)
 
 
-def build(fitted: models.Fitted, train: DataFrame, folder: str) -> Additive:
-    """Shape tables of a fitted additive model, centred on its weighted training rows."""
-    spark = train.sparkSession
-    return centred(shapes(node_table(fitted, folder, spark), fitted.features), train)
+def build(fitted: models.Fitted, train: DataFrame) -> Additive:
+    """Shape tables of an additive model just fitted, centred on its weighted training rows."""
+    return centred(from_fit(fitted), train)
 
 
 _SAVED = "kind string, place int, names array<string>, numbers array<double>"
@@ -144,6 +119,9 @@ def save(spark, model: Additive, path: str) -> None:
     """Write thresholds, grids and base, so that the model can serve without its training rows."""
     rows = [("base", 0, list(model.features), [float(model.base)])]
     rows += [("thresholds", i, [n], [float(t) for t in model.thresholds.get(n, [])]) for i, n in enumerate(model.features)]
+    if model.pair_thresholds is not None:
+        rows += [("pair thresholds", i, [n], [float(t) for t in model.pair_thresholds.get(n, [])])
+                 for i, n in enumerate(model.features)]
     rows += [("term", i, list(key), [float(c) for c in cells.ravel()]) for i, (key, cells) in enumerate(model.terms)]
     spark.createDataFrame(rows, _SAVED).coalesce(1).write.mode("overwrite").parquet(path)
 
@@ -155,23 +133,37 @@ def load(spark, path: str, expected: list[str] | None = None) -> Additive:
     if expected is not None and base["names"] != list(expected):
         raise ValueError("The saved feature order does not match.")
     grid = {r["names"][0]: list(r["numbers"]) for r in rows if r["kind"] == "thresholds"}
-    terms = [(tuple(r["names"]), np.array(r["numbers"]).reshape([len(grid[n]) + 1 for n in r["names"]]))
-             for r in rows if r["kind"] == "term"]
-    return Additive(base["names"], grid, terms, base["numbers"][0])
+    pairs = {r["names"][0]: list(r["numbers"]) for r in rows if r["kind"] == "pair thresholds"} or None
+    model = Additive(base["names"], grid, [], base["numbers"][0], pairs)
+    model.terms = [(tuple(r["names"]), np.array(r["numbers"]).reshape([len(e) + 1 for e in model.edges(tuple(r["names"]))]))
+                   for r in rows if r["kind"] == "term"]
+    return model
 
 
 def shape_table(spark, model: Additive) -> DataFrame:
     """One row per (term, cell): the interval of each feature and the score."""
-    rows = []
-    for index, (key, cells) in enumerate(model.terms):
-        for at in np.ndindex(cells.shape):
-            spans = []
-            for name, i in zip(key, at):
-                edges = [float("-inf"), *model.thresholds[name], float("inf")]
-                spans.append((name, edges[i], edges[i + 1]))
-            rows.append((model.name(index), spans, float(cells[at])))
-    return spark.createDataFrame(
-        rows, "term string, intervals array<struct<feature:string,above:double,up_to:double>>, score double")
+    terms = spark.createDataFrame(
+        [(i, model.name(i), list(key), [len(e) + 1 for e in model.edges(key)], model.edges(key), cells.ravel().tolist())
+         for i, (key, cells) in enumerate(model.terms)],
+        "index int, term string, names array<string>, sizes array<int>, edges array<array<double>>, scores array<double>")
+    rows = terms.select("*", F.posexplode("scores").alias("cell", "score"))
+
+    def interval(name: Column, axis: Column) -> Column:
+        below = F.aggregate(F.slice("sizes", axis + 2, F.size("sizes")), F.lit(1), lambda a, n: a * n)
+        at = F.floor(F.col("cell") / below).cast("int") % F.get("sizes", axis)
+        edges = F.get("edges", axis)
+        return F.struct(name.alias("feature"), F.coalesce(F.get(edges, at - 1), F.lit(float("-inf"))).alias("above"),
+                        F.coalesce(F.get(edges, at), F.lit(float("inf"))).alias("up_to"))
+
+    return rows.select("index", "term", "cell", F.transform("names", interval).alias("intervals"), "score")
+
+
+def shape_rows(df: DataFrame, model: Additive) -> DataFrame:
+    """The shape table with the number of rows of `df` in each cell."""
+    places = F.array(*[F.struct(F.lit(i).alias("index"), F.col(f"c_{i}").alias("cell")) for i in range(len(model.terms))])
+    counts = with_cells(df, model).select(F.inline(places)).groupBy("index", "cell").agg(F.count("*").alias("rows"))
+    return shape_table(df.sparkSession, model).join(counts, ["index", "cell"], "left").withColumn(
+        "rows", F.coalesce("rows", F.lit(0)))
 
 
 def term_importance(df: DataFrame, model: Additive) -> DataFrame:
@@ -240,6 +232,14 @@ def score_urls(df: DataFrame, model: Additive, url: str = "url", model_name: str
     trimmed = checked.withColumn("_given", urls.strip(F.col(url)))
     rows = explained(features.with_features(trimmed, "_given"), model)
     rows = cards.with_highlight(rows, "_given", "_parts")
+    # A score that isn't a number from 0 to 1, or that its contributions don't give back, is an error of that row alone.
+    told = F.col("base_log_odds") + F.aggregate("contributions", F.lit(0.0), lambda a, e: a + e["contribution"])
+    gap = F.abs(cards.sigmoid(told) - F.col("probability"))
+    sound = F.coalesce(F.col("probability").between(0, 1) & (gap <= 1e-10 + 1e-8 * F.col("probability")), F.lit(False))
+    rows = rows.withColumns({"_sound": sound | ~F.col("valid")}).withColumns({
+        "valid": F.col("valid") & F.col("_sound"),
+        "error_code": F.when(~F.col("_sound"), "SCORE").otherwise(F.col("error_code")),
+        "error_message": F.when(~F.col("_sound"), K.SCORE_MESSAGE).otherwise(F.col("error_message"))})
     p = F.when(F.col("valid"), F.col("probability"))
     ok = F.col("valid")
     top = F.slice("contributions", 1, 6)
@@ -277,15 +277,72 @@ def score_urls_older(df: DataFrame, forest: models.Fitted, url: str = "url") ->
     return scored.select(*df.columns, *[F.when(F.col("__usable"), c).alias(n) for n, c in results.items()])
 
 
+@dataclass
+class Paths:
+    """All leaves whose paths test the same number of features, as arrays (leaves, features)."""
+
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray  # of the training rows that follow the path at this feature's splits
+    value: np.ndarray
+
+
+def paths(trees: dict[int, dict[int, tuple]], weights: list[float]) -> list[Paths]:
+    """Nodes are (left, right, feature, threshold, prediction, rows), children by number; -1 is no child."""
+    found: dict[int, list] = {}
+    for number, nodes in trees.items():
+        stack = [(0, {})]
+        while stack:
+            node, seen = stack.pop()
+            left, right, feature, cut, value, rows = nodes[node]
+            if left < 0:
+                found.setdefault(len(seen), []).append((seen, 2.0 * weights[number] * value))
+                continue
+            low, high, share = seen.get(feature, (-np.inf, np.inf, 1.0))
+            for child, bounds in ((left, (low, min(high, cut))), (right, (max(low, cut), high))):
+                stack.append((child, {**seen, feature: (*bounds, share * nodes[child][5] / rows)}))
+    return [Paths(np.array([list(seen) for seen, _ in leaves], int).reshape(len(leaves), size),
+                  *(np.array([[seen[f][i] for f in seen] for seen, _ in leaves]).reshape(len(leaves), size) for i in range(3)),
+                  np.array([value for _, value in leaves])) for size, leaves in sorted(found.items())]
+
+
+def shapley(rows: np.ndarray, leaves: list[Paths]) -> np.ndarray:
+    """Contributions (rows, features). A path of d features is the polynomial of the products of (share + hit * z), which
+    coalitions of each size add to; every feature's own factor is divided out again, for all rows and leaves at once."""
+    out = np.zeros(rows.shape)
+    for p in leaves:
+        count, size = p.feature.shape
+        if not size:
+            continue
+        step = max(1, (1 << 21) // (count * (size + 1)))  # rows at once, so that arrays stay small
+        sizes = np.array([factorial(k) * factorial(size - k - 1) / factorial(size) for k in range(size)])
+        places = [np.eye(rows.shape[1])[p.feature[:, i]] for i in range(size)]
+        for start in range(0, len(rows), step):
+            x = rows[start:start + step][:, p.feature]
+            hit = ((p.low < x) & (x <= p.high)).astype(float)
+            whole = np.zeros((*x.shape[:2], size + 1))
+            whole[..., 0] = 1
+            for i in range(size):
+                whole[..., 1:] = whole[..., 1:] * p.share[:, i, None] + whole[..., :-1] * hit[..., i, None]
+                whole[..., 0] *= p.share[:, i]
+            for i in range(size):
+                total, above = 0.0, 0.0
+                for k in range(size - 1, -1, -1):
+                    # Without the factor: from the top if the feature is hit, else every coefficient by the share.
+                    above = np.where(hit[..., i] > 0, whole[..., k + 1] - p.share[:, i] * above, whole[..., k] / p.share[:, i])
+                    total = total + above * sizes[k]
+                out[start:start + step] += ((hit[..., i] - p.share[:, i]) * p.value * total) @ places[i]
+    return out
+
+
 def tree_contributions(df: DataFrame, fitted: models.Fitted, keep: list[str], folder: str) -> DataFrame:
-    """Path-dependent contributions of boosted trees for a few selected rows, long form.
+    """Path-dependent contributions of boosted trees, long form: one row per (row of `df`, feature).
 
-    The trees travel as one small array table; tasks work on their own rows. Each
-    feature's share is its Shapley value over the game in which an unknown split is
-    averaged by the children's training weights. Only features on a tree's paths
-    matter, and a tree of depth d has at most d of them on any path.
-    """
+    The trees travel as small arrays. Each feature's share is its Shapley value over the game in which an
+    unknown split is averaged by the children's training rows."""
     spark = df.sparkSession
+    workers.ship(spark)
     fitted.pipeline.stages[-1].write().overwrite().save(folder)
     weights = [float(w) for w in fitted.pipeline.stages[-1].treeWeights]
     trees: dict[int, dict] = {}
@@ -293,59 +350,20 @@ def tree_contributions(df: DataFrame, fitted: models.Fitted, keep: list[str], fo
         split = r["split"]
         trees.setdefault(r["treeID"], {})[r["id"]] = (
             r["leftChild"], r["rightChild"], split["featureIndex"],
-            split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else 0.0,
-            r["prediction"], float(r["rawCount"]))
-    names, keep_names = list(fitted.features), list(keep)
+            split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else 0.0, r["prediction"], float(r["rawCount"]))
+    leaves, names, keep_names = paths(trees, weights), list(fitted.features), list(keep)
+    base = float(sum((p.value * p.share.prod(axis=1)).sum() for p in leaves))
 
     def explain_rows(batches):
-        from math import factorial
-
-        def paths(nodes, node, seen):
-            """Leaves as (value, {feature: (lower, upper, share)})."""
-            left, right, feature, cut, value, weight = nodes[node]
-            if left < 0:
-                yield value, seen
-                return
-            low, high, share = seen.get(feature, (float("-inf"), float("inf"), 1.0))
-            for child, bounds in ((left, (low, min(high, cut))), (right, (max(low, cut), high))):
-                yield from paths(nodes, child, {
-                    **seen, feature: (*bounds, share * nodes[child][5] / weight)})
-
-        leaves = [(2.0 * weights[t] * value, conditions)
-                  for t, nodes in trees.items() for value, conditions in paths(nodes, 0, {})]
-        base = 0.0
-        for value, conditions in leaves:
-            for _, _, share in conditions.values():
-                value *= share
-            base += value
-
-        def shares(row):
-            out = [0.0] * len(names)
-            for value, conditions in leaves:
-                items = [(f, 1.0 if low < row[f] <= high else 0.0, share)
-                         for f, (low, high, share) in conditions.items()]
-                size = len(items)
-                for position, (feature, hit, share) in enumerate(items):
-                    # Sizes of coalitions of the other features, as a polynomial.
-                    poly = [1.0]
-                    for other, (_, on, part) in enumerate(items):
-                        if other != position:
-                            poly = [(poly[i] * part if i < len(poly) else 0.0)
-                                    + (poly[i - 1] * on if i else 0.0) for i in range(len(poly) + 1)]
-                    total = sum(c * factorial(i) * factorial(size - i - 1) for i, c in enumerate(poly))
-                    out[feature] += value * (hit - share) * total / factorial(size)
-            return out
-
-        import pandas as pd
         for batch in batches:
-            records = []
-            for _, row in batch.iterrows():
-                given = shares([float(row[n]) for n in names])
-                ranked = sorted(range(len(names)), key=lambda i: -abs(given[i]))
-                for rank, i in enumerate(ranked, start=1):
-                    records.append([*[row[k] for k in keep_names], names[i], rank, given[i], base])
-            yield pd.DataFrame(records, columns=[*keep_names, "term", "absolute_contribution_rank",
-                                                 "contribution_log_odds", "base_log_odds"])
+            given = shapley(batch[names].to_numpy(float), leaves)
+            order = np.argsort(-np.abs(given), axis=1, kind="stable")
+            long = batch[keep_names].loc[batch.index.repeat(len(names))].reset_index(drop=True)
+            long["term"] = np.array(names, object)[order].ravel()
+            long["absolute_contribution_rank"] = np.tile(np.arange(1, len(names) + 1, dtype=np.int32), len(batch))
+            long["contribution_log_odds"] = np.take_along_axis(given, order, 1).ravel()
+            long["base_log_odds"] = base
+            yield long
 
     schema = df.select(*keep).schema
     for name, kind in (("term", "string"), ("absolute_contribution_rank", "integer"),

@@ -1,4 +1,4 @@
-"""Training, saving and batch scoring of the classifiers on MLlib."""
+"""Training, saving and batch scoring of the classifiers, as MLlib models."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from time import perf_counter
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import constants as K
 from ..plans import ordered
 from ..sources import publish
-from . import metrics
+from . import boosting, ensembles, metrics
 
 WITHOUT_HTTPS = [n for n in K.FEATURES if n != "uses_https"]
 
@@ -29,13 +29,16 @@ class Settings:
     forest_leaf: int = 2
     boosted_rounds: int = 1500
     boosted_rate: float = 0.05
-    boosted_depth: int = 5
+    boosted_leaves: int = 31
     boosted_leaf: int = 50
+    boosted_patience: int = 100
     boosted_share: float = 0.9
     additive_rounds: int = 1000
     additive_rate: float = 0.03
     additive_leaf: int = 20
     additive_bins: int = 128
+    additive_pairs: int = 10
+    additive_pair_bins: int = 16
     seed: int = K.DEFAULT_SEED
 
 
@@ -90,27 +93,32 @@ def fit_forest(train: DataFrame, settings: Settings) -> Fitted:
         featureSubsetStrategy="sqrt", subsamplingRate=1.0, seed=settings.seed)], train)
 
 
+def _loaded(names: list[str], model) -> PipelineModel:
+    return PipelineModel([_assembler(names), model])
+
+
 def fit_boosted(train: DataFrame, validation: DataFrame, settings: Settings,
                 names: list[str] = K.FEATURES, name: str = "boosted_trees") -> Fitted:
-    """Boosted trees that stop early on the validation rows' log loss."""
-    both = train.withColumn("held_out", F.lit(False)).unionByName(
-        validation.withColumns({"weight": F.lit(1.0), "held_out": F.lit(True)})
-        .select(*train.columns, "held_out"))
-    return _fit(name, names, [GBTClassifier(
-        featuresCol="inputs", labelCol="label", weightCol="weight",
-        validationIndicatorCol="held_out", validationTol=0.001, maxIter=settings.boosted_rounds,
-        stepSize=settings.boosted_rate, maxDepth=settings.boosted_depth,
-        minInstancesPerNode=settings.boosted_leaf, subsamplingRate=settings.boosted_share,
-        featureSubsetStrategy=str(settings.boosted_share), seed=settings.seed)], both)
+    """Boosted trees, cut back to the round with the least validation log loss; `extra` has the losses and that round."""
+    begun = perf_counter()
+    fit = boosting.fit_trees(train, validation, list(names), boosting.TreeSettings(
+        rounds=settings.boosted_rounds, rate=settings.boosted_rate, leaves=settings.boosted_leaves,
+        least=settings.boosted_leaf, row_share=settings.boosted_share, column_share=settings.boosted_share,
+        patience=settings.boosted_patience, seed=settings.seed))
+    seconds = perf_counter() - begun
+    return Fitted(name, list(names), _loaded(names, ensembles.boosted(train.sparkSession, fit, list(names))), fit_seconds=seconds,
+                  extra={"losses": fit.losses, "best_round": fit.best_round})
 
 
 def fit_additive(train: DataFrame, settings: Settings) -> Fitted:
-    """Trees of depth two: a sum of one- and two-feature step functions."""
-    return _fit("additive", K.FEATURES, [GBTClassifier(
-        featuresCol="inputs", labelCol="label", weightCol="weight",
-        maxIter=settings.additive_rounds, stepSize=settings.additive_rate, maxDepth=2,
-        maxBins=settings.additive_bins, minInstancesPerNode=settings.additive_leaf,
-        seed=settings.seed)], train)
+    """One step function per feature and one per chosen pair; `extra` has them for `explain.build`."""
+    begun = perf_counter()
+    cuts, fit = boosting.fit_additive(
+        train, K.FEATURES, settings.additive_rounds, settings.additive_rate, settings.additive_leaf, settings.additive_bins,
+        settings.additive_pairs, settings.additive_pair_bins)
+    seconds = perf_counter() - begun
+    model = ensembles.additive(train.sparkSession, fit, [cuts[n] for n in K.FEATURES])
+    return Fitted("additive", K.FEATURES, _loaded(K.FEATURES, model), fit_seconds=seconds, extra={"cuts": cuts, "fit": fit})
 
 
 def score(model: Fitted, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -127,7 +127,7 @@ def train_dataset(spark: SparkSession, split_folder: str, destination: str,
         validation.select("split", "label", "uses_https"))
     out.table("https_by_class", metrics.flag_share(both))
 
-    additive = explain.build(fits[3], train, out.path("nodes/additive"))
+    additive = explain.build(fits[3], train)
     if not explain.unreconstructed(validation.select(*K.FEATURES, "url"), additive, fits[3]).isEmpty():
         raise AssertionError("Contributions do not reconstruct the prediction")
     importance = models.importance_table(spark, fits[1])

@@ -73,6 +73,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the files of a table made by `cut` that nothing will read again."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, path)
+
+
 def _laid_out(df: DataFrame, order: list[Column]) -> DataFrame:
     # Range partitioning samples its input first, so the input is written instead of computed twice.
     laid = cut(df).repartitionByRange(*order).sortWithinPartitions(*order)
