@@ -7,12 +7,14 @@ fit: ranges, reconstruction, row counts, order. Training reads the whole table.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import features
-from ..operators import cluster, explain, metrics, models, sampling, split
+from ..operators import boosting, cluster, ensembles, explain, metrics, models, sampling, split
 from ..plans import ordered, scratch
 from . import inputs as I, sql as S
 from .registry import query
@@ -72,14 +74,22 @@ def quality(spark, sf_dir, name):
         (F.col("roc_auc") > 0.5).alias("better_than_chance"))
 
 
-@query("a09_model_round_trip")
+@query("a09_model_round_trip", """select model, count(*) as rows, 0::bigint as differing from lineitem,
+ (values ('logistic_regression'), ('random_forest'), ('boosted_trees'), ('additive')) m(model) group by model""")
 def a09(spark, sf_dir):
-    path = scratch.folder(spark, "a09")
-    model = fitted(spark, sf_dir, "logistic_regression")
-    models.save(spark, model, path, {"dataset": "derived", "threshold": K.THRESHOLD})
-    again = models.load(spark, path, K.FEATURES)
-    return models.score(again, table(spark, sf_dir), [*I.ROW_KEY, "split", "label"]).groupBy(
-        "split", "prediction").agg(F.count("*").alias("rows"))
+    """Every kind of model scores the same after saving and loading."""
+    found = None
+    for name in ("logistic_regression", "random_forest", "boosted_trees", "additive"):
+        path, model = scratch.folder(spark, "a09"), fitted(spark, sf_dir, name)
+        models.save(spark, model, path, {"dataset": "derived", "threshold": K.THRESHOLD})
+        again = models.load(spark, path, K.FEATURES)
+        again.name = "again"
+        both = models.score_all([model, again], table(spark, sf_dir), I.ROW_KEY)
+        pairs = both.groupBy(*I.ROW_KEY).agg(F.max("probability").alias("high"), F.min("probability").alias("low"))
+        rows = pairs.agg(F.count("*").alias("rows"), F.count_if(F.col("high") != F.col("low")).alias("differing"))
+        rows = rows.select(F.lit(name).alias("model"), "rows", "differing")
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 @query("g01_majority", S.with_(GROUPED, """
@@ -105,6 +115,14 @@ def g04(spark, sf_dir):
     return quality(spark, sf_dir, "boosted_trees")
 
 
+@query("g04_rounds")
+def g04_rounds(spark, sf_dir):
+    """Validation log loss after every round, and the round at which the ensemble ends."""
+    fit = fitted(spark, sf_dir, "boosted_trees")
+    rows = [(i + 1, loss, i + 1 == fit.extra["best_round"]) for i, loss in enumerate(fit.extra["losses"])]
+    return spark.createDataFrame(rows, "round int, log_loss double, kept_last boolean")
+
+
 @query("g05_ablation")
 def g05(spark, sf_dir):
     rows = validation_rows(spark, sf_dir)
@@ -121,6 +139,13 @@ def g06(spark, sf_dir):
     return quality(spark, sf_dir, "additive")
 
 
+@query("g06_terms")
+def g06_terms(spark, sf_dir):
+    """The terms of the fitted model, at most 26 and 10 pairs, with their cells and the rows in them."""
+    return explain.shape_rows(validation_rows(spark, sf_dir), additive(spark, sf_dir)).groupBy("term").agg(
+        F.count("*").alias("cells"), F.sum("rows").alias("rows"), F.first(F.size("intervals") > 1).alias("interaction"))
+
+
 @query("g07_shape_table")
 def g07(spark, sf_dir):
     return explain.shape_table(spark, additive(spark, sf_dir))
@@ -214,6 +239,144 @@ def g11_fixed(spark, sf_dir):
     return explain.term_importance(rows, FIXED).withColumn("importance", F.round("importance", 9))
 
 
+def _cells_sql(i, key, cells):
+    """SQL for a term's cells: number, score and each axis' interval as text."""
+    at, rows = "0", []
+    for name, size in zip(key, cells.shape):
+        at = f"({at}) * {size} + " + " + ".join(f"({name} > {t!r})::int" for t in FIXED.thresholds[name])
+    for number, place in enumerate(np.ndindex(cells.shape)):
+        spans = []
+        for name, j in zip(key, place):
+            edges = ["-inf", *map(repr, FIXED.thresholds[name]), "inf"]
+            spans.append(f"{name}:{edges[j]}:{edges[j + 1]}")
+        rows.append(f"({i}, {number}, '{FIXED.name(i)}', '{'; '.join(spans)}', {float(cells[place])!r}::double)")
+    return at, rows
+
+
+_PLACED = [_cells_sql(i, *t) for i, t in enumerate(FIXED.terms)]
+
+
+@query("g07_fixed_shapes", S.with_(S.raw(I.URLS_V), S.featured(), "placed as (" + " union all ".join(
+    f"select {i} as i, {at} as cell from feats" for i, (at, _) in enumerate(_PLACED)) + ")",
+    f"shapes(i, cell, term, intervals, score) as (values {', '.join(r for _, rows in _PLACED for r in rows)})", """
+ select term, intervals, score, count(placed.cell) as rows from shapes left join placed using (i, cell)
+ group by i, shapes.cell, term, intervals, score"""))
+def g07_fixed(spark, sf_dir):
+    """The shape table of the model written by hand, with the rows in each cell."""
+    shapes = explain.shape_rows(url_rows(spark, sf_dir), FIXED)
+
+    def end(value):
+        return F.when(value == float("inf"), "inf").when(value == float("-inf"), "-inf").otherwise(value.cast("string"))
+
+    spans = F.transform("intervals", lambda s: F.concat_ws(":", s["feature"], end(s["above"]), end(s["up_to"])))
+    return shapes.select("term", F.array_join(spans, "; ").alias("intervals"), "score", "rows")
+
+
+#: Trees written by hand, with sums that are exact in binary. The full model tests three features, the second none of
+#: the scheme, the third one feature.
+FIXED_CUTS = {"url_length": [30.0, 45.0], "uses_https": [0.5], "hyphen_count": [0.5]}
+
+
+def _tree(*splits):
+    """Splits are (node, feature, cut, rows and values of both children)."""
+    tree = boosting.Tree()
+    tree.rows[0] = 8
+    for node, feature, cut, *children in splits:
+        tree.split(node, K.FEATURES.index(feature), cut, 1.0, [(value, rows) for rows, value in children])
+    return tree
+
+
+FIXED_TREES = {
+    "full": [_tree((0, "url_length", 1, (4, -0.5), (4, 0.0)), (2, "uses_https", 0, (1, 1.25), (3, 0.25))),
+             _tree((0, "hyphen_count", 0, (6, -0.25), (2, 0.5)))],
+    "without_https": [_tree((0, "url_length", 1, (4, -0.5), (4, 0.5))), _tree((0, "hyphen_count", 0, (6, -0.25), (2, 0.5)))],
+    "hyphens": [_tree((0, "hyphen_count", 0, (6, -0.25), (2, 0.5)))],
+}
+_HYPHENS = "case when hyphen_count <= 0.5 then -0.25 else 0.5 end"
+FIXED_SUMS = {
+    "full": f"case when url_length <= 45 then -0.5 when uses_https <= 0.5 then 1.25 else 0.25 end + {_HYPHENS}",
+    "without_https": f"case when url_length <= 45 then -0.5 else 0.5 end + {_HYPHENS}", "hyphens": _HYPHENS}
+
+
+def fixed_fit(spark, name):
+    cuts = [FIXED_CUTS.get(n, []) for n in K.FEATURES]
+    return models.Fitted(name, list(K.FEATURES), PipelineModel([
+        VectorAssembler(inputCols=K.FEATURES, outputCol="inputs"), ensembles.classifier(spark, FIXED_TREES[name], cuts)]))
+
+
+@query("g15_fixed_scores", S.with_(S.raw(I.URLS_V), S.featured(), "summed as (" + " union all ".join(
+    f"select {', '.join(I.ROW_KEY)}, '{n}' as model, {z} as z from feats" for n, z in FIXED_SUMS.items()) + ")", f"""
+ select {', '.join(I.ROW_KEY)}, model, round(1 / (1 + exp(-z)), 9) as probability, (z >= 0)::int as prediction from summed"""))
+def g15_fixed(spark, sf_dir):
+    """Three ensembles, saved and loaded before, in one pass over the rows."""
+    fits = []
+    for name in FIXED_TREES:
+        folder = scratch.folder(spark, "g15")
+        models.save(spark, fixed_fit(spark, name), folder, {"dataset": "derived", "threshold": K.THRESHOLD})
+        fits.append(models.load(spark, folder, K.FEATURES))
+    return models.score_all(fits, url_rows(spark, sf_dir), I.ROW_KEY).withColumn("probability", F.round("probability", 9))
+
+
+FIXED_SCORED = S.with_(GROUPED, f"""feats as (select *, (l_partkey % 6 in (1, 2, 3))::int as truth,
+ {S.feature_list(rounded=False)} from all_groups)""", "summed as (" + " union all ".join(
+    f"select l_suppkey, domain_group, split, truth, '{n}' as model, ({z} >= 0)::int as said from feats"
+    for n, z in FIXED_SUMS.items()) + ")", """
+ sets as (select model, 'validation' as evaluation_set, truth, said from summed where split = 'validation'
+  union all select model, 'test', truth, said from summed where split = 'test'
+  union all select model, 'cross_source', truth, said from summed where split = 'test' and l_suppkey % 3 = 0
+   and domain_group not in (select domain_group from all_groups where l_suppkey % 2 = 0)),
+ counts as (select model, evaluation_set, count_if(truth = 0 and said = 0)::bigint as tn, count_if(truth = 0 and said = 1)::bigint as fp,
+  count_if(truth = 1 and said = 0)::bigint as fn, count_if(truth = 1 and said = 1)::bigint as tp from sets group by all),
+ quality as (select *, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) as f1,
+  coalesce(tp / nullif(tp + fn, 0), 0) as recall from counts)""", "")
+
+
+@query("g05_fixed_ablation", f"""{FIXED_SCORED} select model, f1, round(f1 - (select f1 from quality where model = 'full'
+ and evaluation_set = 'validation'), 9) as f1_change from quality where evaluation_set = 'validation'""")
+def g05_fixed(spark, sf_dir):
+    """What leaving out the scheme changes, in ensembles written by hand."""
+    fits = [fixed_fit(spark, n) for n in FIXED_TREES]
+    scored_rows = models.score_all(fits, validation_rows(spark, sf_dir), [*I.ROW_KEY, "label"])
+    quality = ordered.cut(metrics.binary_metrics(scored_rows, by=["model"]).withColumn("split", F.lit("validation")))
+    changed = metrics.change(quality, quality.where("model = 'full'"), ["split"])
+    return changed.select("model", F.round("f1", 9).alias("f1"), F.round("f1_change", 9).alias("f1_change"))
+
+
+@query("g17_fixed_evaluation", f"""{FIXED_SCORED} select evaluation_set, model as selected, tn, fp, fn, tp, f1 from quality
+ where evaluation_set <> 'validation' and model = (select model from quality where evaluation_set = 'validation'
+  order by f1 desc, recall desc, model limit 1)""")
+def g17_fixed(spark, sf_dir):
+    """The choice on validation, and how the chosen ensemble does on the test and the cross-source rows."""
+    keep = [*I.ROW_KEY, "label", "domain_group"]
+    fits = [fixed_fit(spark, n) for n in FIXED_TREES]
+    quality = metrics.binary_metrics(models.score_all(fits, validation_rows(spark, sf_dir), keep), by=["model"])
+    chosen = ordered.cut(metrics.best_model(quality.withColumn("dataset", F.lit("larger")), ["dataset"])).first()["selected"]
+    rows = table(spark, sf_dir)
+    test = rows.where("split = 'test'")
+    crossing = split.outside_source(test.where("l_suppkey % 3 = 0"), rows.where("l_suppkey % 2 = 0"))
+    fit = next(f for f in fits if f.name == chosen)
+    sets = [models.score(fit, part, keep).withColumn("evaluation_set", F.lit(name))
+            for name, part in (("test", test), ("cross_source", crossing))]
+    return metrics.binary_metrics(sets[0].unionByName(sets[1]), by=["evaluation_set"]).select(
+        "evaluation_set", F.lit(chosen).alias("selected"), "tn", "fp", "fn", "tp", F.round("f1", 9).alias("f1"))
+
+
+@query("g09_fixed_contributions", S.with_(S.raw(I.URLS_V), S.featured(), """
+ games as (select *, case when url_length <= 45 then -0.5 else 0.5 end as known_length,
+  -0.25 + 0.5 * case when uses_https <= 0.5 then 1.25 else 0.25 end as known_scheme,
+  case when url_length <= 45 then -0.5 when uses_https <= 0.5 then 1.25 else 0.25 end as whole from feats)""", f"""
+ parts as (select {', '.join(I.ROW_KEY)}, 'url_length' as term, (known_length + whole - known_scheme) / 2 as contribution from games
+  union all select {', '.join(I.ROW_KEY)}, 'uses_https', (known_scheme + whole - known_length) / 2 from games
+  union all select {', '.join(I.ROW_KEY)}, 'hyphen_count', {_HYPHENS} + 0.0625 from games)""",
+    "select *, -0.0625::double as base_log_odds from parts"))
+def g09_fixed(spark, sf_dir):
+    """Contributions to the full ensemble for all rows; every other feature has none."""
+    parts = explain.tree_contributions(url_rows(spark, sf_dir), fixed_fit(spark, "full"), I.ROW_KEY, scratch.folder(spark, "g09"))
+    named = F.col("term").isin(*FIXED_CUTS)
+    return parts.where(named | (F.col("contribution_log_odds") != 0)).select(
+        *I.ROW_KEY, "term", F.col("contribution_log_odds").alias("contribution"), "base_log_odds")
+
+
 @query("f12_importance_order")
 def f12(spark, sf_dir):
     return models.importance_table(spark, fitted(spark, sf_dir, "logistic_regression")).unionByName(

@@ -483,9 +483,10 @@ def f02(spark, sf_dir):
 
 
 @query("f03_duplicates", S.with_(S.prepared(), """
- kept as (select source_row, row_number() over (order by source_row) as retained_row_number from routes where route = 'kept')""", """
- select d.source_row, d.url, d.original_label, d.original_category, d.label, k.retained_row_number
- from routes d left join kept k on d.first_row = k.source_row where d.route = 'duplicate'"""))
+ numbered as (select *, count_if(route = 'kept') over (order by source_row) as n from routes)""", """
+ select source_row, url, original_label, original_category, label,
+  max(case when route = 'kept' then n end) over (partition by url_key)::bigint as retained_row_number
+ from numbered qualify route = 'duplicate'"""))
 def f03(spark, sf_dir):
     return outputs(spark, sf_dir, "routes", routes).duplicates
 

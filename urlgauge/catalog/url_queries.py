@@ -65,12 +65,16 @@ def a04(spark, sf_dir):
     return tables.read_split(spark, path, "validation").select("id", "url", "domain_group")
 
 
-@query("a05_csv_round_trip")
+@query("a05_csv_round_trip", """select page_id as id, url, '"' || url || '",' || chr(10) || ' x' as quoted from pages""")
 def a05(spark, sf_dir):
+    """A publication's CSV output, with quotes, commas and line feeds in its cells, read back."""
     from ..plans import scratch
-    path = scratch.folder(spark, "a05")
-    I.pages(spark, sf_dir).write.csv(path, header=True, encoding="UTF-8", lineSep="\n", escape='"')
-    return spark.read.schema("id long, url string").csv(path, header=True, escape='"')
+    out = publish.Publication(spark, scratch.folder(spark, "a05"))
+    quoted = F.concat(F.lit('"'), "url", F.lit('",\n x'))
+    out.csv("pages", I.pages(spark, sf_dir).withColumn("quoted", quoted))
+    return spark.read.schema("id long, url string, quoted string").csv(
+        out.publish() + "/pages", header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False)
 
 
 @query("a06_publish_once", "select page_id as id, url, true as second_run_refused from pages")
