@@ -57,6 +57,6 @@ def texts(docs):
 @pytest.fixture(scope="session")
 def db(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "conversations"):
+    for name in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
     return con

@@ -172,6 +172,18 @@ def test_decontamination_tolerates_substitution(spark, odd, none):
     assert decontaminate.clean_documents(none, benchmark).count() == 0
 
 
+def test_stages_decide_by_row(spark):
+    """Rows that share an id, or have none, go or stay by their own text."""
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(None, passage), (None, "a clean text without any passage"), (5, passage), (5, "another clean text"), (6, None), (7, "kept")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = decontaminate.clean_documents(df, spark.createDataFrame([(1, passage)], "item_id bigint, text string"))
+    assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[1] != passage)
+    twice = [(1, passage), (1, "quite another text about other things"), (1, passage), (2, passage.upper()), (3, "quite another text about other things")]
+    got = simhash.distinct_documents(spark.createDataFrame(twice, "doc_id bigint, text string"))
+    assert Counter(map(tuple, got.collect())) == Counter(twice[:2])
+
+
 def test_decontamination_of_short_items_finds_every_substitution(spark):
     """Items of 1 to 13 words: all copies with as many words replaced as the rule admits, and none with more."""
     items, docs, wanted = [], [], set()
@@ -506,7 +518,12 @@ def test_tags_and_notices():
     a = licences.automaton()
     scan = lambda t: licences.scan(t, a)
     assert scan("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause\nx")[5:7] == ("apache-2.0,bsd-3-clause,mit", 1.0)
-    assert scan("SPDX-License-Identifier: MIT and then some prose")[5:] == ("mit,then", 1.0, ["MIT and then"])
+    assert scan("SPDX-License-Identifier: MIT and then some prose")[5:] == ("mit", 1.0, ["MIT"])
+    assert scan("SPDX-License-Identifier: foo")[5:] == ("", 0.0, [])
+    assert scan("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR LicenseRef-Own.")[5:] == (
+        "gpl-2.0-or-later with classpath-exception-2.0,licenseref-own", 1.0, ["GPL-2.0-or-later WITH Classpath-exception-2.0 OR LicenseRef-Own"])
+    assert scan("SPDX-License-Identifier: MIT WITH prose")[5:] == ("mit", 1.0, ["MIT"])
+    assert scan("BSD 3-Clause License; licensed under the ISC license")[5:7] == ("bsd-3-clause,isc", 0.9)
     assert scan("SPDX-License-Identifier: OR")[5:7] == ("", 0.0)
     assert scan("Released under the MIT License.")[1:7] == (1, 3, 3, "mit", "mit", 0.9)
     assert scan("mit license mit license")[1:4] == (2, 0, 2)

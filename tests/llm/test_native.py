@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 from uuid import uuid4
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,65 @@ def test_sharding(spark, sf_dir, texts, odd, none):
     assert sharding.placed_documents(odd).count() == len(TEXTS) + 1
 
 
+def test_shards_are_written(spark, odd, tmp_path):
+    placed = sharding.placed_documents(odd)
+    sharding.write_shards(placed, str(tmp_path / "shards"))
+    again = spark.read.schema(placed.schema).parquet(str(tmp_path / "shards"))
+    assert sorted(map(str, again.select(placed.columns).collect())) == sorted(map(str, placed.collect()))
+    folders = {p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()}
+    assert folders == {f"shard_id={r[0] if r[0] is not None else '__HIVE_DEFAULT_PARTITION__'}" for r in placed.select("shard_id").distinct().collect()}
+
+
+def plain_fold(events):
+    """Events (msg, reset, text) in order: messages as [msg, text], by begin."""
+    live, seen = [], set()
+    for msg, reset, text in events:
+        at = next((i for i, m in enumerate(live) if m[0] == msg), None)
+        if msg not in seen:
+            seen.add(msg)
+            live.append([msg, text])
+        elif at is not None and reset:
+            live[at:] = [[msg, text]]
+        elif at is not None:
+            live[at][1] += text
+    return [t for _, t in live]
+
+
+def test_events_of_dropped_messages_change_nothing(spark):
+    named = {1: [("q1", 0, "q1"), ("a1", 0, "a1"), ("q1", 1, "q1b"), ("a2", 0, "a2"), ("a1", 1, "late"), ("q2", 0, "q2")]}
+    rng = np.random.default_rng(4)
+    for conv in range(2, 60):
+        named[conv] = [(f"m{rng.integers(0, 5)}", int(rng.random() < 0.4), f"<{i}>") for i in range(rng.integers(1, 14))]
+    rows = [(conv, i, "edit" if reset else "delta", msg, "user", text) for conv, events in named.items()
+            for i, (msg, reset, text) in enumerate(events)]
+    log = spark.createDataFrame(rows, "conv_id bigint, seq bigint, kind string, msg string, role string, text string")
+    got = defaultdict(list)
+    for r in chat.fold_events(log).orderBy("conv_id", "seq").collect():
+        got[r["conv_id"]].append(r["text"])
+    assert got[1] == ["q1b", "a2", "q2"]
+    assert got == {conv: plain_fold(events) for conv, events in named.items()}
+    long = [(9, i, "delta", "m", "user", "word " * 20_000) for i in range(3)]
+    wide = spark.createDataFrame(long, log.schema).withColumns({n: F.lit(1) for n in ("_at", "_begin", "_live", "formatted")})
+    assert chat.fold_events(wide).first()["text"] == "word " * 60_000
+
+
+def test_a_named_batch_can_be_added_again(spark):
+    known, schema = index(spark), "doc_id bigint, text string"
+    known.add(spark.createDataFrame([(1, "a")], schema), batch="first")
+    batch = spark.createDataFrame([(2, "a"), (3, "b"), (4, " b"), (None, "c")], schema)
+    told = [sorted(map(str, known.add(batch, batch="second").collect())) for _ in range(2)]
+    assert told[0] == told[1] and sum("kept=True" in r for r in told[0]) == 2
+    assert known.table().count() == 3
+    again = known.compact()
+    assert again.table().count() == 3 and sorted(map(str, again.add(batch, batch="second").collect())) == told[0]
+    assert not any(r["kept"] for r in again.add(batch, batch="third").collect())
+
+
+def test_rows_without_an_id_are_mixed_in_many_blocks(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("w "), "id").alias("text"), F.lit("s").alias("source"))
+    assert mixing.mix(rows).agg(F.sum("taken")).first()[0] == 6000
+
+
 LOG = [
     (1, 1, "message", "m1", "user", "Hi"), (1, 2, "delta", "m2", "assistant", "Hel"), (1, 3, "delta", "m2", "assistant", "lo"),
     (1, 4, "message", "m3", "user", "again?"), (1, 5, "edit", "m1", "user", "Hi <b> & </turn>\n"),

@@ -6,30 +6,16 @@ import zlib
 from collections import Counter, defaultdict
 from math import floor, log
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urlgauge.llm import merkle, page_text, queries, ranked_search
+from urlgauge.llm import merkle, page_text, ranked_search
 from urlgauge.llm.page_text import Page
 
 from .conftest import TEXTS, rows_of
 
 
-@pytest.mark.parametrize("name", ["op11_html_text", "op12_merkle_manifest", "op13_ranked_search"])
-def test_sql_twin(spark, sf_dir, name):
-    con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
-        con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
-    got = queries.QUERIES[name](spark, sf_dir).toPandas()
-    wanted = con.execute(queries.ORACLES[name]).df()
-    columns = sorted(got.columns)
-    assert columns == sorted(wanted.columns) and len(got)
-    assert Counter(map(str, got[columns].itertuples(index=False, name=None))) == \
-        Counter(map(str, wanted[columns].itertuples(index=False, name=None)))
-
-
 # Page text
 
 def text(html):

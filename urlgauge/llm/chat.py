@@ -3,7 +3,9 @@
 A log row is an event of a conversation: `kind` is message, delta, edit or regenerate. In the order
 of `seq`, `message` and `delta` append text to the message `msg` (the first event creates it, with
 its role), `edit` replaces its text and `regenerate` does so too, and both drop every message that
-began after the changed one and before the event: what followed was an answer to the old text.
+began after the changed one and before the event: what followed was an answer to the old text. Events of a
+message that has been dropped change nothing. Such events are rare, so conversations where they may occur
+are told by running counts and only those are folded event by event.
 
 Rendering marks each turn as `<turn ROLE>TEXT</turn>` and a line feed. Inside texts `&` and `<` are
 escaped as `&amp;` and `&lt;`, in roles `>` too as `&gt;`, so no text can open or close a turn, and
@@ -54,18 +56,53 @@ def fold_events(log: DataFrame) -> DataFrame:
     rows = rows.withColumns({
         "_begin": F.min("_at").over(seen),
         "_last_reset": F.coalesce(F.max(F.when(F.col("_reset"), F.col("_at"))).over(seen), F.lit(0))})
-    messages = rows.groupBy("conv_id", "_msg", "_own", "_begin", "_last_reset").agg(
+    rows = _without_late_events(rows, within, each)
+    messages = rows.groupBy("conv_id", "_msg", "_own", "_begin", "_last_reset", "_live").agg(
         F.min_by("seq", "_at").alias("seq"), F.min_by("role", "_at").alias("role"),
         F.sort_array(F.collect_list(F.when(
             F.col("_at") >= F.col("_last_reset"), F.struct("_at", "text")))).alias("_parts"))
     earlier = (Window.partitionBy("conv_id").orderBy("_begin")
                .rowsBetween(Window.unboundedPreceding, -1))
-    reset_before = F.coalesce(F.max("_last_reset").over(earlier), F.lit(0))
-    kept = messages.withColumn("_dropped", reset_before > F.col("_begin")).where(~F.col("_dropped"))
+    reset_before = F.coalesce(F.max(F.when(F.col("_live").isNull(), F.col("_last_reset"))).over(earlier), F.lit(0))
+    kept = messages.withColumn("_kept", F.coalesce("_live", reset_before <= F.col("_begin"))).where("_kept")
     return kept.select("conv_id", F.col("_begin").alias("seq"), "role",
                        F.array_join(F.col("_parts.text"), "").alias("text"))
 
 
+def _without_late_events(rows: DataFrame, within: Window, each: Window) -> DataFrame:
+    """Add `_live`: null, or, where a message is changed after a change of another may have dropped it, whether the
+    message is left in the end; `_last_reset` is then that of its changes while it was not dropped."""
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.count_if("_reset").over(before), F.lit(0))
+    rows = rows.withColumns({"_resets": earlier, "_own_resets": F.count_if("_reset").over(
+        each.rowsBetween(Window.unboundedPreceding, -1))})
+    since = F.col("_resets") - F.first("_resets").over(each.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_late", F.col("_reset") & (since > F.coalesce("_own_resets", F.lit(0))))
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_late", F.max("_late").over(whole))
+    event = F.struct(F.col("_at").alias("at"), F.col("_begin").alias("begin"), F.col("_reset").alias("reset"))
+    rows = rows.withColumn("_events", F.collect_list(F.when(F.col("_late"), event)).over(whole))
+    left = F.when(F.col("_late") & (F.col("_at") == 1), F.aggregate(
+        F.array_sort("_events"), F.array().cast("array<struct<begin:int,reset:int>>"), _after))
+    rows = rows.withColumn("_left", left).drop("_events")
+    rows = rows.withColumn("_left", F.max("_left").over(whole))
+    own = F.get(F.filter("_left", lambda m: m["begin"] == F.col("_begin")), F.lit(0))
+    return rows.withColumns({
+        "_live": F.when(F.col("_late"), own.isNotNull()),
+        "_last_reset": F.when(F.col("_late"), F.coalesce(own["reset"], F.lit(0))).otherwise(F.col("_last_reset"))})
+
+
+def _after(messages: Column, event: Column) -> Column:
+    """The messages left after an event: begin and last change of each, by begin."""
+    def entry(reset: Column) -> Column:
+        return F.struct(event["begin"].cast("int").alias("begin"), reset.cast("int").alias("reset"))
+
+    changed = F.concat(F.filter(messages, lambda m: m["begin"] < event["begin"]), F.array(entry(event["at"])))
+    there = F.exists(messages, lambda m: m["begin"] == event["begin"])
+    return F.when(event["at"] == event["begin"], F.concat(messages, F.array(entry(F.when(event["reset"], event["at"]).otherwise(0))))) \
+        .when(there & event["reset"], changed).otherwise(messages)
+
+
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss array of (start, length)."""
     role = F.replace(escape(F.coalesce("role", F.lit(""))), F.lit(">"), F.lit("&gt;"))

@@ -6,7 +6,9 @@ one), joined by single spaces. One automaton finds, in one pass,
  - notice phrases, which name a licence with its version, and
  - identifier tags. What follows a tag on its line, up to a character that can't belong to an
    expression, is parsed as a licence expression: `with` binds tighter than `and`, that tighter
-   than `or`; brackets group. A broken expression gives no label.
+   than `or`; brackets group. Operands are identifiers of the published list (`KNOWN`, or a set of the caller's),
+   `LicenseRef-` names, and exceptions after `with`; the expression ends before any other word, so prose after
+   a tag names no licence. A broken expression gives no label.
 
 An expression is evaluated to the licences that it names, to those that every choice needs, or to
 whether a set of accepted licences satisfies it; each takes one pass, however many choices there are. Labels
@@ -46,6 +48,46 @@ NOTICES = {
     "redistribution and use in source and binary forms": "bsd",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
+NOTICES |= {
+    "mit license permission is hereby granted": "mit",
+    "licensed under the isc license": "isc",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee": "isc",
+    "bsd 2 clause license": "bsd-2-clause",
+    "bsd 3 clause license": "bsd-3-clause",
+    "simplified bsd license": "bsd-2-clause",
+    "new bsd license": "bsd-3-clause",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+    "boost software license version 1 0": "bsl-1.0",
+    "eclipse public license v 2 0": "epl-2.0",
+    "eclipse public license version 2 0": "epl-2.0",
+    "gnu lesser general public license version 2 1": "lgpl-2.1",
+    "gnu lesser general public license version 3": "lgpl-3.0",
+    "gnu affero general public license version 3": "agpl-3.0",
+    "creative commons attribution 4 0 international": "cc-by-4.0",
+    "creative commons attribution sharealike 4 0 international": "cc-by-sa-4.0",
+    "cc0 1 0 universal": "cc0-1.0",
+    "do what the fuck you want to public license": "wtfpl",
+    "sil open font license version 1 1": "ofl-1.1",
+    "python software foundation license version 2": "psf-2.0",
+}
+# Common identifiers of the published licence list, lower-cased, and its exceptions. GNU licences
+# and some others have the endings -only and -or-later as well.
+KNOWN = set("""
+    0bsd afl-3.0 agpl-1.0 agpl-3.0 apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-2.0 beerware blessing
+    blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1
+    bzip2-1.0.6 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-4.0
+    cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cpl-1.0 curl
+    ecl-2.0 efl-2.0 elastic-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap fsful ftl gfdl-1.2 gfdl-1.3 gpl-1.0 gpl-2.0 gpl-3.0 hpnd
+    icu ijg imagemagick ipl-1.0 isc json lgpl-2.0 lgpl-2.1 lgpl-3.0 libpng libpng-2.0 libtiff lppl-1.3c mit mit-0 mit-cmu
+    mit-modern-variant mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 ncsa nist-pd nposl-3.0 odbl-1.0 odc-by-1.0 ofl-1.0
+    ofl-1.1 openssl osl-3.0 php-3.0 php-3.01 pddl-1.0 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sgi-b-2.0 sleepycat sspl-1.0
+    tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zend-2.0 zlib zpl-2.1""".split())
+EXCEPTIONS = set("""
+    autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception classpath-exception-2.0
+    font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 gnu-javamail-exception libtool-exception linux-syscall-note
+    llvm-exception openjdk-assembly-exception-1.0 openvpn-openssl-exception qt-gpl-exception-1.0 qt-lgpl-exception-1.1
+    swift-exception u-boot-exception-2.0 universal-foss-exception-1.0 wxwindows-exception-3.1""".split())
+ENDING = re.compile(r"(?:-only|-or-later|\+)$")
 TAGS = ("spdx license identifier",)
 TAG = re.compile(r"spdx[-_ ]license[-_ ]identifier[ \t]*[:=]?[ \t]*", re.I)
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
@@ -147,19 +189,24 @@ def permitted(expression: str, accepted: set[str]) -> bool:
                     lambda operator, a, b: (a and b) if operator == "and" else (a or b))
 
 
-def expressions(text: str) -> list[str]:
-    """What follows the tags of a text: the longest beginning of the line's expression that parses."""
+def names_licence(word: str, known: set[str] = KNOWN) -> bool:
+    low = word.lower().rstrip(".")
+    return low in known or ENDING.sub("", low) in known or low.startswith("licenseref-")
+
+
+def expressions(text: str, known: set[str] = KNOWN) -> list[str]:
+    """What follows the tags of a text: the longest beginning of the line's expression that parses, of known operands."""
     found = []
     for tag in TAG.finditer(text):
         # Prose may follow a tag on its line, so take words as long as operands and operators alternate.
-        end, operand, depth = None, True, 0
+        end, operand, depth, excepted = None, True, 0, False
         w = NEXT.match(text, tag.end())
         while w:
             low = w.group(1).lower()
             if low in BINDS:
                 if operand:
                     break
-                operand = True
+                operand, excepted = True, low == "with"
             elif low == "(":
                 if not operand:
                     break
@@ -169,9 +216,9 @@ def expressions(text: str) -> list[str]:
                     break
                 depth -= 1
             else:
-                if not operand:
+                if not operand or not (low.rstrip(".") in EXCEPTIONS if excepted else names_licence(low, known)):
                     break
-                operand = False
+                operand, excepted = False, False
             if not operand and not depth:
                 end = w.end()
             w = NEXT.match(text, w.end())

@@ -12,7 +12,8 @@ in blocks by the hash's first three digits, so no task holds a source.
 
 Size: number of runs of characters outside [\\x20\\x09-\\x0D]; a null text has 0. A null source is a
 source of its own. A source whose documents are all empty has target 0 and takes nothing. Rows that
-repeat are documents of their own; ties of the hash are broken by text hash and size.
+repeat are documents of their own; ties of the hash are broken by text hash and size. Rows without an id are
+ordered by a hash of their text instead.
 """
 
 from __future__ import annotations
@@ -66,7 +67,8 @@ def mix(docs: DataFrame, weights=cycle_weights, max_epochs: int = 3, seed: str =
     sized = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).alias("source"),
         words(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("_text"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_order"))
+        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.concat(
+            F.lit("text:"), F.xxhash64(F.col(text_col)).cast("string"))))).alias("_order"))
     sized = written(sized.withColumn("_block", F.substring("_order", 1, BLOCK_DIGITS)), "sized")
     blocks = written(sized.groupBy("source", "_block").agg(F.sum("size").alias("_words")), "blocks")
     sources = blocks.groupBy("source").agg(F.sum("_words").alias("source_size"))

@@ -88,7 +88,12 @@ def shard_documents(docs: DataFrame, shards: int = 8, blocks: int = 1024, id_col
 
 
 def placed_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id") -> DataFrame:
-    """The documents with all their columns, and the shard as `shard_id`, laid out by shard.
+    """The documents with all their columns, and the shard as `shard_id`; `write_shards` stores them by it.
 
     A column of that name is replaced."""
     return docs.withColumn("shard_id", jump_hash(F.col(id_col), shards))
+
+
+def write_shards(placed: DataFrame, path: str) -> None:
+    """One folder `shard_id=N` for each shard. Every task writes to the folders of its own rows, without a shuffle."""
+    placed.write.partitionBy("shard_id").parquet(path)

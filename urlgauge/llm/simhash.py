@@ -67,7 +67,7 @@ def _fingerprint(words: list[bytes], shingle: int, seed: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, fp, text_hash): the fingerprint as a signed long, and a hash that tells rows of one id apart."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -75,10 +75,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, id_col: st
             # bytes.lower changes A-Z only; bytes.split cuts at [\x20\x09-\x0D] only.
             fps = np.fromiter((_fingerprint((t.as_py() or "").encode().lower().split(), shingle, seed)
                                for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col)).mapInArrow(
+        run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 @lru_cache
@@ -195,12 +195,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reached)."""
-    marked = written(fingerprints(docs, shingle, SEED, id_col, text_col), "fingerprints")
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = components(links(nodes, distance))
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    rooted = written(rooted, "rooted")
+    marked, rooted = _rooted(docs, shingle, distance, id_col, text_col)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = written(rooted.join(least, "root").select("fp", "component_id"), "classes")
     # Two plain shuffles of narrow rows: a fingerprint with a third of the rows is split adaptively.
@@ -208,11 +203,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, id_col
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def distinct_documents(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The documents with the smallest id of each component, columns as given.
+def _rooted(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and every distinct one's first id and the root of its component."""
+    marked = written(fingerprints(docs, shingle, SEED, id_col, text_col), "fingerprints")
+    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    found = components(links(nodes, distance))
+    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    return marked, written(rooted, "rooted")
+
 
-    Rows that repeat that id are reduced to one. Rows with a null id can't be told apart and stay."""
-    found = near_duplicates(docs, shingle, distance)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(written(keep, "kept"), "doc_id").dropDuplicates(["doc_id"])
+def distinct_documents(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One document of each component, the one with the smallest id, columns as given.
+
+    Unlike texts that share an id are decided each; of a component's rows with that id, the one with the smallest
+    hash of its text stays, and of rows equal in id and text one. Rows with a null id can't be told apart and stay."""
+    marked, rooted = _rooted(docs, shingle, distance, "doc_id", "text")
+    best = marked.where("doc_id is not null").groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    keep = written(rooted.join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select(
+        F.col("best.doc_id").alias("__keep_id"), F.col("best.text_hash").alias("__keep_text")), "kept")
+    own = (docs["doc_id"] == keep["__keep_id"]) & (F.xxhash64(docs["text"]) == keep["__keep_text"])
+    kept = docs.join(keep, own).dropDuplicates(["__keep_id", "__keep_text"])
     return kept.select(*docs.columns).union(docs.where("doc_id is null"))
