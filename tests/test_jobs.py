@@ -10,7 +10,7 @@ from urlgauge.plans import jobs, ordered
 from urlgauge.sources import publish
 
 TINY = models.Settings(logistic_iterations=20, forest_trees=4, forest_depth=4, boosted_rounds=4,
-                       boosted_rate=0.3, boosted_depth=3, boosted_leaf=5, additive_rounds=4,
+                       boosted_rate=0.3, boosted_leaf=5, additive_rounds=4,
                        additive_rate=0.3, additive_leaf=5, additive_bins=16)
 
 
@@ -108,3 +108,20 @@ def test_evaluation(spark, folders):
     assert crossed.join(known, "domain_group", "left_semi").isEmpty()
     per_model = {r["model"]: r["n"] for r in crossed.groupBy("model").agg(F.count("*").alias("n")).collect()}
     assert len(set(per_model.values())) == 1 and len(per_model) == 2
+
+
+def test_one_of_two_writers_publishes(spark, tmp_path):
+    target = str(tmp_path / "out")
+    first = publish.Publication(spark, target, owner="first")
+    with pytest.raises(FileExistsError, match="first"):
+        publish.Publication(spark, target, owner="second")
+    again = publish.Publication(spark, target, owner="first")  # the same owner after a failure
+    again.table("rows", spark.range(3))
+    again.publish()
+    with pytest.raises(FileExistsError):
+        publish.Publication(spark, target, owner="second")
+    other = publish.Publication(spark, str(tmp_path / "left"), owner="first")
+    other.table("rows", spark.range(3))
+    other.abandon()
+    publish.Publication(spark, str(tmp_path / "left"), owner="second").table("rows", spark.range(1))
+    assert first.claim == again.claim and not publish.exists(spark, again.claim)

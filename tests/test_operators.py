@@ -136,7 +136,7 @@ def test_silhouette_by_definition(spark):
 
 
 def test_silhouette_takes_all_rows_in_blocks(spark, tmp_path):
-    from urlgauge.catalog import registry
+    from urlgauge import catalog
 
     rng = np.random.default_rng(8)
     points, owners = rng.normal(size=(10_050, 2)).round(2), rng.integers(0, 3, 10_050)
@@ -144,7 +144,7 @@ def test_silhouette_takes_all_rows_in_blocks(spark, tmp_path):
     spark.createDataFrame(
         [(i, points[i].tolist(), int(owners[i])) for i in range(len(points))],
         "vec_id bigint, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
-    got = {r["vec_id"]: r["silhouette"] for r in registry.QUERIES["e22_silhouette_rows"](spark, str(tmp_path)).collect()}
+    got = {r["vec_id"]: r["silhouette"] for r in catalog.queries()["e22_silhouette_rows"](spark, str(tmp_path)).collect()}
     assert len(got) == len(points)
     for i in [*range(0, 60, 20), *range(60, len(points), 500)]:
         away = np.linalg.norm(points - points[i], axis=1)
@@ -167,7 +167,7 @@ def test_silhouette_does_not_depend_on_blocks(spark):
     (64, 9, ()), (64, 10, ("e20_difference_pivot",)), (64, None, ("e20_difference_pivot",)),
     *[(n, 9, ("e19_cluster_profile", "e20_difference_pivot", "f04_top_features")) for n in (63, 65)]])
 def test_other_lengths_and_clusters_are_errors(spark, tmp_path, length, label, failing):
-    from urlgauge.catalog import registry
+    from urlgauge import catalog
 
     rows = [(i, [float(i * j % 7) for j in range(64)], i % 2) for i in range(6)] + [(6, [1.0] * length, label)]
     spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").write.parquet(

@@ -445,6 +445,38 @@ def e21(spark, sf_dir):
     return clustered(spark, sf_dir)[1]
 
 
+_START = "((7 * c + f - 1) % 5 - 2) / 4.0::double"
+
+
+def _assigned(n):
+    """SQL: every row's cluster for each k at the centres of step n; of equally near ones the first."""
+    return f"""far{n} as (select vec_id, k, c, sum(pow(p.v - m.v, 2)) as d from points p join centres{n} m using (f) group by vec_id, k, c),
+ own{n} as (select vec_id, k, arg_min(c, struct_pack(d := d, c := c)) as c, min(d) as d from far{n} group by vec_id, k)"""
+
+
+@query("e21_fixed_starts", S.with_(
+    "points as (select vec_id, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as f from embeddings)",
+    f"centres0 as (select k, c, f, {_START} as v from range(2, 7) a(k), range(0, 6) b(c), range(1, 65) d(f) where c < k)",
+    *[x for n in (0, 1) for x in (_assigned(n), f"""centres{n + 1} as (select m.k, m.c, m.f, coalesce(avg(p.v), any_value(m.v)) as v
+  from centres{n} m left join own{n} o on o.k = m.k and o.c = m.c left join points p on p.vec_id = o.vec_id and p.f = m.f
+  group by m.k, m.c, m.f)""")], _assigned(2), """
+ counted as (select k, c, count(*) as n, sum(d) as cost from own2 group by k, c)""", """
+ select k, round(sum(cost), 6) as inertia, min(n) as smallest_cluster_rows, round(max(n) / sum(n), 9) as largest_cluster_share
+ from counted group by k"""))
+def e21_fixed(spark, sf_dir):
+    """Two moves of all k from given centres, in the same scans, and the table at the end."""
+    rows = I.table(spark, sf_dir, "embeddings").select(F.col("embedding").cast("array<double>").alias("point"))
+    starts = {k: np.array(CENTRES[:k]) for k in range(2, 7)}
+    _, found = cluster.lloyd(rows, starts, iterations=2, tolerance=-1.0)
+    table = [(k, float(cost.sum()), int(n[n > 0].min()), float(n.max() / n.sum())) for k, (n, cost) in found.items()]
+    return spark.createDataFrame(table, "k int, inertia double, smallest_cluster_rows long, largest_cluster_share double").select(
+        "k", F.round("inertia", 6).alias("inertia"), "smallest_cluster_rows",
+        F.round("largest_cluster_share", 9).alias("largest_cluster_share"))
+
+
+CENTRES = [[((7 * c + i) % 5 - 2) / 4 for i in range(DIMS)] for c in range(10)]
+
+
 @query("g14_centroid_distance")
 def g14(spark, sf_dir):
     values, _, fits = clustered(spark, sf_dir)
@@ -453,9 +485,6 @@ def g14(spark, sf_dir):
         F.count("*").alias("rows"), (F.min("distance_to_centroid") >= 0).alias("nonnegative"))
 
 
-CENTRES = [[((7 * c + i) % 5 - 2) / 4 for i in range(DIMS)] for c in range(10)]
-
-
 @query("g14_fixed_distance", """select vec_id, round(sqrt(list_sum(list_transform(range(64),
  lambda i: pow(embedding[i + 1]::double - ((7 * label + i) % 5 - 2) / 4.0::double, 2)))), 6) as distance from embeddings""")
 def g14_fixed(spark, sf_dir):

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from math import ceil
+from uuid import uuid4
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pandas as pd
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as K
-from ..plans import ordered
+from ..plans import ordered, workers
 from . import sampling
 
 SILHOUETTE_BLOCK = 10_000
@@ -53,9 +56,79 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["z_" + n for n in ORDER], outputCol="values").transform(df)
 
 
-def fit(df: DataFrame, k: int, seed: int = K.DEFAULT_SEED):
-    return KMeans(k=k, seed=seed, featuresCol="values", predictionCol="cluster",
-                  initMode="k-means||", maxIter=100).fit(df)
+def starting_centres(sample: np.ndarray, k: int, seed: int, tries: int = 10) -> np.ndarray:
+    """k centres of a bounded sample: the best of some k-means++ draws, each moved a few times over the sample."""
+    best = (np.inf, sample[:k])
+    for attempt in range(tries):
+        rng = np.random.default_rng((seed, k, attempt))
+        centres = sample[rng.integers(len(sample))][None]
+        while len(centres) < min(k, len(sample)):
+            far = _distances(sample, centres).min(1) ** 2
+            chance = far / far.sum() if far.sum() > 0 else np.full(len(sample), 1 / len(sample))
+            centres = np.vstack([centres, sample[rng.choice(len(sample), p=chance)]])
+        for _ in range(20):
+            own = _distances(sample, centres).argmin(1)
+            centres = np.stack([sample[own == c].mean(0) if (own == c).any() else centres[c] for c in range(len(centres))])
+        cost = float((_distances(sample, centres).min(1) ** 2).sum())
+        if cost < best[0]:
+            best = cost, centres
+    return best[1]
+
+
+def moved(points: DataFrame, centres: dict[int, np.ndarray], values: str = "point"):
+    """One scan for all k: the centres' means, and per k each cluster's rows and squared distances.
+
+    Tasks sum their own rows, Spark sums the tasks; a cluster without rows keeps its centre."""
+    workers.ship(points.sparkSession)
+
+    def sums(batches):
+        totals = {k: np.zeros((len(c), c.shape[1] + 2)) for k, c in centres.items()}
+        for batch in batches:
+            rows = np.array(batch[values].tolist(), float).reshape(len(batch), -1)
+            for at in range(0, len(rows), 4096):
+                part = rows[at:at + 4096]
+                for k, c in centres.items():
+                    far = _distances(part, c)
+                    own = far.argmin(1)
+                    table = np.column_stack([part, np.ones(len(part)), far[np.arange(len(part)), own] ** 2])
+                    totals[k] += np.eye(len(c))[own].T @ table
+        for k, table in totals.items():
+            yield pd.DataFrame({"k": k, "cluster": np.repeat(np.arange(len(table)), table.shape[1]),
+                                "place": np.tile(np.arange(table.shape[1]), len(table)), "total": table.ravel()})
+
+    found = {k: np.zeros((len(c), c.shape[1] + 2)) for k, c in centres.items()}
+    for r in points.select(values).mapInPandas(sums, "k int, cluster int, place int, total double").groupBy(
+            "k", "cluster", "place").agg(F.sum("total").alias("total")).collect():
+        found[r["k"]][r["cluster"], r["place"]] = r["total"]
+    means = {k: np.where(t[:, -2:-1] > 0, t[:, :-2] / np.maximum(t[:, -2:-1], 1), centres[k]) for k, t in found.items()}
+    return means, {k: (t[:, -2], t[:, -1]) for k, t in found.items()}
+
+
+def lloyd(points: DataFrame, centres: dict[int, np.ndarray], iterations: int = 100, tolerance: float = 1e-4, values: str = "point"):
+    """Move the centres of all k, a scan per iteration, until none moves further than `tolerance`.
+
+    Returns the centres and, per k, rows and squared distances by cluster at these centres."""
+    for _ in range(iterations):
+        means, _ = moved(points, centres, values)
+        far = max(float(np.sqrt(((means[k] - centres[k]) ** 2).sum(1)).max()) for k in centres)
+        centres = means
+        if far <= tolerance:
+            break
+    return centres, moved(points, centres, values)[1]
+
+
+def as_model(spark: SparkSession, centres: np.ndarray) -> KMeansModel:
+    """The centres as an MLlib model that assigns `cluster` to `values`."""
+    jvm = spark.sparkContext._jvm
+    vectors = spark.sparkContext._gateway.new_array(jvm.org.apache.spark.mllib.linalg.Vector, len(centres))
+    for i, c in enumerate(centres):
+        numbers = spark.sparkContext._gateway.new_array(jvm.double, len(c))
+        for j, x in enumerate(c):
+            numbers[j] = float(x)
+        vectors[i] = jvm.org.apache.spark.mllib.linalg.Vectors.dense(numbers)
+    parent = jvm.org.apache.spark.mllib.clustering.KMeansModel(vectors)
+    model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(f"KMeans_{uuid4().hex[:12]}", parent))
+    return model.setFeaturesCol("values").setPredictionCol("cluster")
 
 
 def with_distance(df: DataFrame, centers: list) -> DataFrame:
@@ -221,22 +294,25 @@ def mean_silhouette(sample: DataFrame, values: str = "values", cluster: str = "c
 
 def compare_k(df: DataFrame, row: str, ks=range(2, 7), sample_size: int = 2000,
               seed: int = K.DEFAULT_SEED):
-    """Fit each k on all rows and score it on one fixed sample.
+    """Fit all k on all rows, in scans that they share, and score each on one fixed sample.
 
-    Returns the k table and the fitted models. `df` holds `values` and should be
-    cached or read from a written table, since every k passes over it.
+    The sample also gives the starting centres; its size is the bound of what comes to the driver. Returns the k table
+    and the fitted models. `df` holds `values` and should be read from a written table, since every iteration scans it.
     """
     spark, records, models = df.sparkSession, [], {}
     sample = ordered.cut(sampling.fixed_sample(df.select(row, "values"), row, sample_size, seed))
     held = sample.withColumn("point", vector_to_array("values"))
+    points = np.array([r["point"] for r in held.select("point").collect()], float)
+    centres, found = lloyd(df.select(vector_to_array("values").alias("point")),
+                           {k: starting_centres(points, k, seed) for k in ks})
     for k in ks:
-        model = models[k] = fit(df, k, seed)
-        counts = [r["count"] for r in model.transform(df).groupBy("cluster").count().collect()]
+        model = models[k] = as_model(spark, centres[k])
+        counts = [int(n) for n in found[k][0] if n]
         chosen = model.transform(held).select(row, "cluster", "point")
         present = chosen.agg(F.count_distinct("cluster").alias("c"), F.count("*").alias("n")).first()
         usable = len(counts) == k and 1 < present["c"] < present["n"]
         score = mean_silhouette(chosen, "point").first()[0] if usable else None
-        records.append((k, score, float(model.summary.trainingCost), min(counts),
+        records.append((k, score, float(found[k][1].sum()), min(counts),
                         max(counts) / sum(counts)))
     table = spark.createDataFrame(
         records, "k int, silhouette_estimate double, inertia double, smallest_cluster_rows long, "

@@ -23,15 +23,45 @@ def exists(spark: SparkSession, path: str) -> bool:
 class Publication:
     """Collects tables under a staging folder and renames it when complete.
 
-    An existing destination is an error: results are written once.
+    An existing destination is an error: results are written once. Before anything is staged, a claim file is
+    created, which fails if there is one: of two writers only one goes on. The same owner (the application, if not given)
+    may claim again after a failure; `abandon` removes a claim that is left behind.
     """
 
-    def __init__(self, spark: SparkSession, destination: str):
+    def __init__(self, spark: SparkSession, destination: str, owner: str | None = None):
         self.spark, self.destination = spark, destination.rstrip("/")
         if exists(spark, self.destination):
             raise FileExistsError(f"Results already exist: {self.destination}. Choose a new folder.")
         parent, _, leaf = self.destination.rpartition("/")
-        self.staging = f"{parent}/_staging_{leaf}"
+        self.staging, self.claim = f"{parent}/_staging_{leaf}", f"{parent}/_claim_{leaf}"
+        self.owner = owner or spark.sparkContext.applicationId
+        self._take()
+
+    def _take(self) -> None:
+        fs, claim = _fs(self.spark, self.claim)
+        try:
+            stream = fs.create(claim, False)
+        except Exception as taken:
+            if not fs.exists(claim):
+                raise
+            stream = fs.open(claim)
+            try:
+                holder = stream.readUTF()
+            finally:
+                stream.close()
+            if holder != self.owner:
+                raise FileExistsError(f"{self.destination} is being written by {holder}.") from taken
+            return
+        try:
+            stream.writeUTF(self.owner)
+        finally:
+            stream.close()
+
+    def abandon(self) -> None:
+        """Remove what was staged, and the claim."""
+        for path in (self.staging, self.claim):
+            fs, target = _fs(self.spark, path)
+            fs.delete(target, True)
 
     def path(self, name: str) -> str:
         return f"{self.staging}/{name}"
@@ -56,6 +86,7 @@ class Publication:
         _, target = _fs(self.spark, self.destination)
         if not fs.rename(source, target):
             raise IOError(f"Could not publish {self.destination}")
+        fs.delete(_fs(self.spark, self.claim)[1], False)
         return self.destination
 
 
