@@ -151,7 +151,7 @@ def test_silhouette_takes_all_rows_in_blocks(spark, tmp_path):
         a = away[owners == owners[i]].sum() / ((owners == owners[i]).sum() - 1)
         b = min(away[owners == o].mean() for o in {0, 1, 2} - {owners[i]})
         assert got[i] == pytest.approx((b - a) / max(a, b), abs=1e-6)
-    mean = registry.QUERIES["e22_silhouette"](spark, str(tmp_path)).first()[0]
+    mean = catalog.queries()["e22_silhouette"](spark, str(tmp_path)).first()[0]
     assert mean == pytest.approx(np.mean(list(got.values())), abs=1e-6)
 
 
@@ -173,7 +173,7 @@ def test_other_lengths_and_clusters_are_errors(spark, tmp_path, length, label, f
     spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").write.parquet(
         f"{tmp_path}/embeddings.parquet")
     for name in ("e19_cluster_profile", "e20_difference_pivot", "f04_top_features"):
-        query = registry.QUERIES[name]
+        query = catalog.queries()[name]
         if name in failing:
             with pytest.raises(Exception, match="Expected vectors|No column for cluster"):
                 query(spark, str(tmp_path)).collect()

@@ -36,7 +36,7 @@ def table(spark, sf_dir):
 
 def train_rows(spark, sf_dir):
     rows = table(spark, sf_dir).where("split = 'train'")
-    return I.held(spark, sf_dir, "train", lambda s, d: models.weighted(rows).persist())
+    return I.held(spark, sf_dir, "train", lambda s, d: models.weighted(rows))
 
 
 def validation_rows(spark, sf_dir):
@@ -428,8 +428,8 @@ def g12(spark, sf_dir):
 def clustered(spark, sf_dir):
     def make(spark, sf_dir):
         rows = cluster.select_class(train_rows(spark, sf_dir))
-        values = cluster.assemble(cluster.preprocess(rows, cluster.scaling(rows))).persist()
-        numbered = values.withColumn("row", F.concat_ws("-", *I.ROW_KEY))
+        values = cluster.assemble(cluster.preprocess(rows, cluster.scaling(rows)))
+        numbered = ordered.cut(values.withColumn("row", F.concat_ws("-", *I.ROW_KEY)))
         return numbered, *cluster.compare_k(numbered, "row")
     return I.held(spark, sf_dir, "clusters", make)
 

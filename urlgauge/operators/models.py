@@ -72,7 +72,8 @@ def fit_majority(train: DataFrame) -> Fitted:
 def _fit(name, names, stages, train) -> Fitted:
     ordered.working_folder(train.sparkSession)
     begun = perf_counter()
-    model = Pipeline(stages=[_assembler(names), *stages]).fit(train)
+    # Only what is learned from: the learners cache their own vectors of it.
+    model = Pipeline(stages=[_assembler(names), *stages]).fit(train.select("label", "weight", *names))
     return Fitted(name, list(names), model, fit_seconds=perf_counter() - begun)
 
 

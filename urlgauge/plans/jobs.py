@@ -104,7 +104,7 @@ def train_dataset(spark: SparkSession, split_folder: str, destination: str,
     if info["sources_combined"] or info["domain_overlap_between_splits"]:
         raise ValueError("Resolve domain overlap before training")
     out = publish.Publication(spark, destination)
-    train = models.weighted(load_split(spark, split_folder, "train")).persist()
+    train = models.weighted(load_split(spark, split_folder, "train"))
     validation = load_split(spark, split_folder, "validation")
     fits = [models.fit_majority(train), models.fit_logistic(train, settings),
             models.fit_forest(train, settings), models.fit_additive(train, settings),
@@ -147,7 +147,6 @@ def train_dataset(spark: SparkSession, split_folder: str, destination: str,
         models.save(spark, fit, out.path(f"models/{fit.name}"), _manifest(info, settings))
     out.manifest({**_manifest(info, settings), "models": [f.name for f in fits]})
     out.publish()
-    train.unpersist()
     return spark.read.parquet(f"{destination}/validation_metrics")
 
 
