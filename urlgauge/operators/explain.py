@@ -18,8 +18,10 @@ from ..functions import cards, features, urls
 from ..plans import workers
 from . import ensembles, models
 
-#: Whole-number features find their cell in a table by value up to this threshold; others count the steps below.
+#: Whole-number features find their cell in a table by value up to this threshold; others count the steps below, first
+#: those that begin a block of steps and then those in the block.
 LOOKED_UP = 1 << 16
+STEPS_IN_BLOCK = 12
 
 
 @dataclass
@@ -56,16 +58,25 @@ def _axes(model: Additive) -> list[tuple[str, bool]]:
                   key=lambda a: (model.features.index(a[0]), a[1]))
 
 
-_ROW = "_key int, _scores array<array<double>>, _steps array<array<double>>, _places array<array<int>>"
+_ROW = ("_key int, _scores array<array<double>>, _heads array<array<double>>, _blocks array<array<array<double>>>, "
+        "_places array<array<int>>")
 
 
 def model_row(spark: SparkSession, model: Additive) -> DataFrame:
     """The model as one row: scores by term, steps by axis, and the cell of each whole number by axis."""
-    steps = [[float(t) for t in (model.pair_thresholds if pair else model.thresholds)[n]] for n, pair in _axes(model)]
-    places = [np.searchsorted(s, np.arange(int(s[-1]) + 2), "left").tolist() if s and 0 <= s[0] and s[-1] < LOOKED_UP else []
-              for s in steps]
+    steps = [_steps(model, *axis) for axis in _axes(model)]
+    places = [np.searchsorted(s, np.arange(int(s[-1]) + 2), "left").tolist() if _by_value(s) else [] for s in steps]
+    blocks = [[s[i:i + STEPS_IN_BLOCK] for i in range(0, len(s), STEPS_IN_BLOCK)] for s in steps]
     scores = [[float(c) for c in cells.ravel()] for _, cells in model.terms]
-    return spark.createDataFrame([(0, scores, steps, places)], _ROW)
+    return spark.createDataFrame([(0, scores, [[b[0] for b in own] for own in blocks], blocks, places)], _ROW)
+
+
+def _steps(model: Additive, name: str, pair: bool) -> list[float]:
+    return [float(t) for t in (model.pair_thresholds if pair else model.thresholds)[name]]
+
+
+def _by_value(steps: list[float]) -> bool:
+    return bool(steps) and 0 <= steps[0] and steps[-1] < LOOKED_UP
 
 
 def with_cells(df: DataFrame, model: Additive) -> DataFrame:
@@ -74,11 +85,15 @@ def with_cells(df: DataFrame, model: Additive) -> DataFrame:
     looked = df.withColumn("_key", F.lit(0)).join(F.broadcast(model_row(df.sparkSession, model)), "_key")  # one row
     axes = {}
     for number, (name, pair) in enumerate(_axes(model)):
-        steps, places = F.get("_steps", F.lit(number)), F.get("_places", F.lit(number))
-        found = F.size(F.filter(steps, lambda t: t < F.col(name)))
-        if name in whole:
-            at = F.least(F.greatest(F.col(name).cast("int"), F.lit(0)), F.size(places) - 1)
-            found = F.when(F.size(places) > 0, F.get(places, at)).otherwise(found)
+        if name in whole and _by_value(_steps(model, name, pair)):
+            places = F.get("_places", F.lit(number))
+            found = F.get(places, F.least(F.greatest(F.col(name).cast("int"), F.lit(0)), F.size(places) - 1))
+        else:
+            block = F.col(f"_block_{number}")
+            looked = looked.withColumn(f"_block_{number}", F.size(F.filter(
+                F.get("_heads", F.lit(number)), lambda t: t < F.col(name))) - 1)
+            found = F.when(block < 0, 0).otherwise(block * STEPS_IN_BLOCK + F.size(F.filter(
+                F.get(F.get("_blocks", F.lit(number)), block), lambda t: t < F.col(name))))
         axes[name, pair] = f"_axis_{number}"
         looked = looked.withColumn(f"_axis_{number}", found)
     made = {}
@@ -87,7 +102,8 @@ def with_cells(df: DataFrame, model: Additive) -> DataFrame:
         for name, size in zip(key, cells.shape):
             at = at * size + F.col(axes[name, len(key) > 1 and model.pair_thresholds is not None])
         made[f"c_{index}"] = at
-    return looked.withColumns(made).drop("_key", "_steps", "_places", *axes.values())
+    return looked.withColumns(made).drop(
+        "_key", "_heads", "_blocks", "_places", *axes.values(), *[f"_block_{i}" for i in range(len(axes))])
 
 
 def with_terms(df: DataFrame, model: Additive) -> DataFrame:
@@ -177,8 +193,9 @@ def term_importance(df: DataFrame, model: Additive) -> DataFrame:
     return means.select(F.inline_outer(pairs)).orderBy(F.col("importance").desc(), "term")
 
 
-def explained(df: DataFrame, model: Additive) -> DataFrame:
-    """Add base_log_odds, total_log_odds, probability and contributions (largest first)."""
+def explained(df: DataFrame, model: Additive, check: bool = False) -> DataFrame:
+    """Add base_log_odds, total_log_odds, probability and contributions (largest first); with `check` also
+    contribution_sum, their sum taken over the array of contributions."""
     own = df.columns
     rows = with_terms(df, model)
     entries = []
@@ -203,7 +220,9 @@ def explained(df: DataFrame, model: Additive) -> DataFrame:
     rows = rows.withColumns({
         "base_log_odds": F.lit(model.base), "probability": cards.sigmoid(F.col("total_log_odds")),
         "contributions": F.transform("contributions", lambda e: e.dropFields("o", "i"))})
-    return rows.select(*own, "base_log_odds", "total_log_odds", "probability", "contributions")
+    told = F.aggregate(F.array(*[F.col(f"t_{i}") for i in range(len(model.terms))]), F.lit(0.0), lambda a, t: a + t)
+    return rows.select(*own, "base_log_odds", "total_log_odds", "probability", "contributions",
+                       *([told.alias("contribution_sum")] if check else []))
 
 
 def contributions(df: DataFrame, model: Additive, keep: list[str]) -> DataFrame:
@@ -230,11 +249,10 @@ def score_urls(df: DataFrame, model: Additive, url: str = "url", model_name: str
     """Full score record per URL; rejected URLs keep their error and have no score."""
     checked = urls.validate(df, url, request_limit=request_limit)
     trimmed = checked.withColumn("_given", urls.strip(F.col(url)))
-    rows = explained(features.with_features(trimmed, "_given"), model)
+    rows = explained(features.with_features(trimmed, "_given"), model, check=True)
     rows = cards.with_highlight(rows, "_given", "_parts")
     # A score that isn't a number from 0 to 1, or that its contributions don't give back, is an error of that row alone.
-    told = F.col("base_log_odds") + F.aggregate("contributions", F.lit(0.0), lambda a, e: a + e["contribution"])
-    gap = F.abs(cards.sigmoid(told) - F.col("probability"))
+    gap = F.abs(cards.sigmoid(F.col("base_log_odds") + F.col("contribution_sum")) - F.col("probability"))
     sound = F.coalesce(F.col("probability").between(0, 1) & (gap <= 1e-10 + 1e-8 * F.col("probability")), F.lit(False))
     rows = rows.withColumns({"_sound": sound | ~F.col("valid")}).withColumns({
         "valid": F.col("valid") & F.col("_sound"),
