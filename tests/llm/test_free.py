@@ -8,6 +8,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -290,32 +291,49 @@ def direct_token(token, counts, depth):
     return sum(log10(mixed(0, node, bit, context, 0.5)) for key in context_tree.keys_of(token) for node, bit, context in path(key))
 
 
-def test_keys_of_many_tokens():
-    tokens = [b"a", context_tree.END, b"abcdefghijkl", "é".encode() * 9, b"\xff\x00"]
-    keys, sizes = context_tree._keys(tokens)
-    assert keys.tolist() == [k for t in tokens for k in context_tree.keys_of(t)] and sizes.sum() == len(keys)
-    assert [len(x) for x in context_tree._keys([])] == [0, 0]
-
-
-def test_context_tree_matches_its_definition(spark):
+def test_context_tree_matches_its_definition():
+    """Every asked key, with buckets apart from each other, against the recursive definition."""
     counts = {b"the": 9, b"then": 3, b"hen": 1, "é".encode(): 2, context_tree.END: 4, b"abcdefghijkl": 2}
     asked = [*counts, b"theft", b"zzz", b"abcdefghijklm"]
-    rows = [(bytearray(t), counts.get(t, 0)) for t in asked]
-    got = {bytes(r["token"]): r["logp0"] for r in context_tree.token_scores(
-        spark.createDataFrame(rows, "token binary, n0 bigint"), 1).collect()}
+    of_key = Counter({k: 0 for t in asked for k in context_tree.keys_of(t)})
+    for t, n in counts.items():
+        for k in context_tree.keys_of(t):
+            of_key[k] += n
+    got = scored_keys(of_key, 5)
     for t in asked:
-        assert got[t] == pytest.approx(direct_token(t, counts, context_tree.DEPTH), rel=1e-5)
-
-
-def test_next_byte_probabilities_sum_to_one(spark):
-    counts = Counter({k: 0 for c in range(256) if c != 32 for k in context_tree.keys_of(bytes([c]))})
+        assert sum(got[k] for k in context_tree.keys_of(t)) == pytest.approx(direct_token(t, counts, context_tree.DEPTH), rel=1e-9)
+
+
+def scored_keys(counts, buckets):
+    """Log10 probability of every key, worked on in buckets as the operator does."""
+    raw = np.array(list(counts), np.uint64)
+    keys, n = context_tree.merged([(context_tree.ordered(raw), np.array(list(counts.values()), np.int64))])
+    order, at = context_tree.dealt(keys, buckets)
+    spans = [order[a:b] for a, b in zip(at[:-1], at[1:]) if b > a]
+    nodes = pa.concat_tables([context_tree.summary(keys[s], n[s]) for s in spans])
+    top = pa.concat_tables([context_tree.top(nodes.filter(pc.equal(nodes.column("node"), k)))
+                            for k in pc.unique(nodes.column("node")).to_pylist()])
+    out = np.zeros(len(keys))
+    for s in spans:
+        out[s] = context_tree.log_probabilities(keys[s], n[s], top)
+    return dict(zip(raw.tolist(), out[np.searchsorted(keys, context_tree.ordered(raw))]))
+
+
+def test_next_byte_probabilities_sum_to_one():
+    counts = Counter({0x20 << 8 | c: 0 for c in range(256)})
     for token, n in ((b"ab", 3), (b"ba", 2)):
         for k in context_tree.keys_of(token):
             counts[k] += n
-    keys = {(r["key"] & 255): r["logp0"] for r in context_tree.key_scores(
-        spark.createDataFrame(list(counts.items()), "key bigint, n0 bigint"), 1).collect() if r["key"] >> 8 == 0x20}
-    # All first bytes but the space, which takes the rest.
-    assert len(keys) == 255 and 0.9 < sum(10 ** p for p in keys.values()) < 1
+    keys = [p for k, p in scored_keys(counts, 3).items() if k >> 8 == 0x20]
+    assert len(keys) == 256 and sum(10 ** p for p in keys) == pytest.approx(1)
+
+
+def test_packed_keys_come_back():
+    for values in (np.array([0, 1, 255, 1 << 63, (1 << 64) - 1], np.uint64), np.zeros(0, np.uint64), np.arange(5000, dtype=np.uint64)):
+        assert context_tree.unpack(context_tree.pack(values), len(values), np.uint64).tolist() == values.tolist()
+    lists = [(np.array(k, np.uint64), np.array(n, np.int64)) for k, n in (([1, 5], [2, 0]), ([], []), ([0, 5, 9], [1, 7, 1]))]
+    keys, n = context_tree.merged(lists)
+    assert (keys.tolist(), n.tolist()) == ([0, 1, 5, 9], [1, 2, 7, 1])
 
 
 def test_lm_query(spark, sf_dir, texts):
@@ -352,7 +370,7 @@ def test_lm_contexts_cross_words(spark, monkeypatch):
     asked = ["the cat sat on a mat", "mat a on sat cat the", "new words"]
     rows = [(i, t, i < 0) for i, t in [*zip((0, 1, 2), train), *zip((-1, -2, -3), asked)]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean")
-    got = {r["doc_id"]: r["score"] for r in context_tree.score_documents(docs, F.col("held"), block_bytes=30).collect()}
+    got = {r["doc_id"]: r["score"] for r in context_tree.score_documents(docs, F.col("held"), block_bytes=30, bucket_bytes=30).collect()}
     monkeypatch.setattr(context_tree, "keys_of", running)
     for i, t in zip((-1, -2, -3), asked):
         assert got[i] == pytest.approx(direct_token(t, Counter(train), context_tree.DEPTH), rel=1e-5)
