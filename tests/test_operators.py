@@ -1,6 +1,7 @@
 """Operators against small brute-force answers and published rows."""
 
 import datetime
+import hashlib
 import random
 
 import numpy as np
@@ -224,3 +225,26 @@ def test_day_label(spark):
     df = spark.createDataFrame([(datetime.datetime(2026, 3, 5, 1, 2, 3),)], "ts timestamp")
     row = df.select(cards.day_label(F.col("ts")).alias("d"), cards.iso_stamp(F.col("ts")).alias("s")).first()
     assert row["d"] == "Mar - 05 - 2026" and row["s"] == "2026-03-05T01:02:03Z"
+
+
+def plain_root(data, block, fan):
+    level = [hashlib.sha256(data[i:i + block]).hexdigest() for i in range(0, len(data), block)]
+    while len(level) > 1:
+        level = [hashlib.sha256("".join(level[i:i + fan]).encode()).hexdigest() for i in range(0, len(level), fan)]
+    return level[0]
+
+
+def test_file_trees(spark, tmp_path):
+    sizes = [1, 999, 1000, 1001, 3000, 3001, 9000, 9001, 50_000]
+    texts = {f"part {n}.bin": random.Random(n).randbytes(n) for n in sizes}
+    for name, data in texts.items():
+        (tmp_path / name).write_bytes(data)
+    whole = {r["file"]: r["sha256"] for r in tables.file_fingerprints(spark, str(tmp_path)).collect()}
+    got = {r["file"]: (r["bytes"], r["root"]) for r in tables.file_trees(spark, str(tmp_path), 1000, 3).collect()}
+    assert got == {n: (len(d), plain_root(d, 1000, 3)) for n, d in texts.items()}
+    assert got["part 999.bin"][1] in whole.values()
+    changed = bytearray(texts["part 50000.bin"])
+    changed[31_234] ^= 1
+    (tmp_path / "part 50000.bin").write_bytes(changed)
+    again = {r["file"]: (r["bytes"], r["root"]) for r in tables.file_trees(spark, str(tmp_path), 1000, 3).collect()}
+    assert {n for n in got if got[n] != again[n]} == {"part 50000.bin"}

@@ -406,6 +406,37 @@ def g10(spark, sf_dir):
         "url", "trust_score", "status", F.concat_ws("; ", "top_signals").alias("top_signals"))
 
 
+#: Importances of the hand-written ensemble "full": each of its splits has the same gain.
+FIXED_WEIGHTS = {"url_length": 0.25, "uses_https": 0.25, "hyphen_count": 0.5}
+
+
+def _reason(i, name):
+    """SQL: a feature's place among the reasons, none where it isn't active."""
+    weight = FIXED_WEIGHTS.get(name, 0.0)
+    active, strength = ((f"{name} = 1", f"{weight}") if name.startswith(("has_", "is_"))
+                        else (f"{name} > {K.THRESHOLDS[name]}", f"{weight} * {name}"))
+    text = "'" + K.REASON_TEXT[name].replace("'", "''") + "'" if name in K.REASON_TEXT else "null"
+    return f"case when {active} then {{'o': -({strength})::double, 'i': {i}, 'text': {text}::varchar}} end"
+
+
+_REASONS = ", ".join(_reason(i, n) for i, n in enumerate(K.FEATURES) if n.startswith(("has_", "is_")) or n in K.THRESHOLDS)
+
+
+@query("g10_fixed_reasons", S.with_(S.BOTH, S.featured(), f"""
+ checked as (select *, not (host = '' or {S._PARSE_ERROR}) as valid, {FIXED_SUMS['full']} as z from feats)""", f"""
+ told as (select url, valid, round(100 * (1 - 1 / (1 + exp(-z))), 1) as trust, round(100 / (1 + exp(-z)), 1) as risk, list_sort(list_filter([{_REASONS}],
+  lambda r: r is not null))[1:5] as best from checked)""", """
+ select url, case when valid then trust end as trust_score, case when valid then risk end as risk_percent,
+  case when not valid then null when trust >= 70 then 'Safe' when trust >= 40 then 'Risky' else 'Dangerous' end as status,
+  case when valid then array_to_string(list_transform(list_filter(best, lambda r: r.text is not null), lambda r: r.text), '; ')
+  else '' end as top_signals from told"""))
+def g10_fixed(spark, sf_dir):
+    """The older record by an ensemble written by hand."""
+    both = I.view(spark, sf_dir, f"{I.ALL_URLS} union select url from ({I.EDGE_V}) e")
+    return explain.score_urls_older(both, fixed_fit(spark, "full")).select(
+        "url", "trust_score", "risk_percent", "status", F.concat_ws("; ", "top_signals").alias("top_signals"))
+
+
 def _z(name):
     """SQL for one preprocessed column: log counts and others standardised, flags as they are."""
     if name in K.FLAG_FEATURES:

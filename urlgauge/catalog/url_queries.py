@@ -115,6 +115,12 @@ def a08f(spark, sf_dir):
     return tables.file_fingerprints(spark, f"{sf_dir}/pages.parquet")
 
 
+@query("a08_file_trees")
+def a08t(spark, sf_dir):
+    """Blocks of 1 MB, so that the larger tables have several levels."""
+    return tables.file_trees(spark, f"{sf_dir}/lineitem.parquet", block=1 << 20, fan=4)
+
+
 @query("a10_history_read", S.with_(S.HISTORY, """
  select id, url, trust_score, risk_percent, status, strftime(ts, '%b - %d - %Y') as checked_at from history"""))
 def a10(spark, sf_dir):

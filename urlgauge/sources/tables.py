@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
@@ -109,12 +115,57 @@ def read_suffix_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 per file, read in parallel; each file must stay below 2 GB."""
+    """SHA-256 per file, read in parallel; each file must stay below 2 GB (`file_trees` has no such bound)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
             .select(F.element_at(F.split("path", "/"), -1).alias("file"),
                     F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")))
 
 
+def _block_digests(block: int):
+    def run(batches):
+        for batch in batches:
+            found = []
+            for path, place, size in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                # Spark names files unescaped, and local ones with one slash, which are no URIs to Arrow.
+                store, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", quote(path, safe="/:@")))
+                digest, left = hashlib.sha256(), min(block, size - place * block)
+                with store.open_input_file(at) as source:
+                    source.seek(place * block)
+                    while left > 0:
+                        piece = source.read(min(left, 1 << 20))
+                        if not piece:
+                            raise OSError(f"{path} is shorter than it was")
+                        digest.update(piece)
+                        left -= len(piece)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())],
+                                             ["path", "place", "bytes", "digest"])
+    return run
+
+
+def file_trees(spark: SparkSession, path: str, block: int = 64 << 20, fan: int = 16) -> DataFrame:
+    """A fingerprint per file of any size: SHA-256 of its blocks, then of every `fan` digests in a row, as hex text, until
+    one is left. Many tasks share a file; the root depends on `block` and `fan` only, and for a file of one block
+    it is the file's own SHA-256. Empty files have no row, as Spark lists none. Files that change while they are read are an error or give another root."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    last = F.greatest(F.lit(0), F.expr(f"(length - 1) div {block}")).cast("long")
+    blocks = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("place"), F.col("length").alias("bytes"))
+    count, most = ordered.cut(blocks).agg(F.count("*"), F.max("place")).first()
+    tasks = max(1, min(count, 4 * spark.sparkContext.defaultParallelism))
+    nodes = ordered.cut(blocks.repartition(tasks, "path", "place").mapInArrow(
+        _block_digests(block), "path string, place long, bytes long, digest string"))
+    left = (most or 0) + 1
+    while left > 1:
+        run = F.transform(F.array_sort(F.collect_list(F.struct("place", "digest"))), lambda n: n["digest"])
+        # What is alone at its level and first is a root already.
+        over = nodes.withColumn("alone", F.col("bytes") <= F.lit(block)).groupBy(
+            "path", "bytes", F.expr(f"place div {fan}").alias("place"), "alone").agg(run.alias("run"))
+        nodes = over.select("path", "place", "bytes", F.when(F.col("alone"), F.col("run")[0]).otherwise(
+            F.sha2(F.array_join("run", ""), 256)).alias("digest"))
+        left, block = -(-left // fan), block * fan
+    return nodes.select(F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", F.col("digest").alias("root"))
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Order-free fingerprint of a table of any size: row count and summed row hashes."""
     cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
