@@ -245,6 +245,63 @@ def test_toxicity_features_do_not_depend_on_neighbours():
     assert together[0, at["near_person"]] == pytest.approx(0.25) and together[4, at["masked_hits"]] > 0
 
 
+def plain_features(text, weights):
+    """The features of one text, word by word; `weights` has words, and beginnings of words with a star after them."""
+    raw, text = (text or "").encode(), text or ""
+    low, size = text.lower(), max(len(raw), 1)
+    letters, loose = "a-zA-Z\u0080-\U0010ffff", "a-zA-Z\u0080-\U0010ffff" + "".join(toxicity.LEET)
+
+    def weigh(word):
+        data = word.encode()
+        begins = [data[:k] + b"*" for k in toxicity.PREFIXES if len(data) > k]
+        return max([weights.get(k, 0.0) for k in (data, *begins)])
+
+    words = re.findall(f"[{letters}]+", low)
+    found, n = [weigh(w) for w in words], max(len(words), 1)
+    strong = [i for i, w in enumerate(found) if w >= 3]
+    person = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    mixed = [w for w in re.findall(f"[{loose}]+", low) if set(w) & set(toxicity.LEET) and set(w) - set(toxicity.LEET)]
+    masked = [w for w in mixed if weigh("".join(toxicity.LEET.get(c, c) for c in w)) >= 3]
+    capital = lambda c: "A" <= c <= "Z" or "\u00c0" <= c <= "\u00de"
+    shouted = [w for w in re.findall(f"[{letters}]+", text)
+               if (c := sum(map(capital, w))) >= 2 and 2 * c >= len(w.encode())]
+    signs = [b for b in raw if 33 <= b < 127 and not chr(b).isalnum()]
+    runs = [i for i in range(2, len(raw)) if raw[i] == raw[i - 1] == raw[i - 2] and raw[i] not in b" \t\n\x0b\x0c\r"]
+    return [len(strong) / n, np.log1p(len(strong)), sum(0 < w < 3 for w in found) / n, max(found, default=0.0), sum(found) / n,
+            max((1 / (1 + abs(i - j)) for i in strong for j in person), default=0.0), len(person) / n,
+            sum(map(capital, text)) / size, len(shouted) / n, text.count("!") / n, text.count("?") / n,
+            len(signs) / size, sum(48 <= b < 58 for b in raw) / size, len(mixed) / n, np.log1p(len(masked)),
+            len(runs) / size, sum(a == b for a, b in zip(words, words[1:])) / n, np.log1p(len(words)),
+            sum(len(w.encode()) for w in words) / n, (strong[-1] + 1) / n if strong else 0.0]
+
+
+def test_toxicity_features_by_plain_rules(texts):
+    weights = {b"idiot": 5.0, b"stup*": 3.5, b"meh": 1.25, b"fool*": 2.0, b"foolishn*": 4.0, "d\u00fcmmling".encode(): 3.0}
+    keys, values = [], []
+    for word, weight in weights.items():
+        data = np.frombuffer(word.rstrip(b"*"), np.uint8)
+        key = Hasher(data)(np.array([0]), np.array([len(data)]))[0]
+        kind = toxicity.PREFIXES.index(len(data)) + 1 if word.endswith(b"*") else 0
+        keys.append(int(key) + kind & (1 << 64) - 1)
+        values.append(weight)
+    lexicon = toxicity.Lexicon(np.array(keys, np.uint64), np.array(values))
+    made = ["you IDIOT!!! 1d10t, stupid stupid foolishness", "aa", "aaa", "a", "\u00dcBER D\u00dcMMLING t\u00fa? meh", None, "", "!!!", "!",
+            "st\u00fcpid $tup1dity @ 33 fool foolishnessly", " \t  \n  ", "you " * 40 + "idiot", "x" * 300_000 + " idiot"]
+    column = [*made, *texts.values()]
+    got = toxicity.features(pa.array(column, pa.string()), lexicon)
+    want = np.array([plain_features(t, weights) for t in column])
+    for i, name in enumerate(toxicity.FEATURES):
+        assert np.allclose(got[:, i], want[:, i], rtol=1e-5, atol=1e-7), name
+
+
+def test_toxicity_sample_is_of_rows_with_a_text(spark):
+    """Labels without a document don't use the sample up."""
+    docs = spark.createDataFrame([(i, "you awful idiot" if i % 2 else "a calm day") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5_000)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, sample=60)
+    assert model.share == 0.5 and model.trees is not None
+
+
 # Language model
 
 def direct_token(token, counts, depth):
@@ -471,6 +528,49 @@ def test_spans_at_all_mentions():
     assert len(base) == 1 and len(spans) == 41 and {s[2] for s in spans} == {"phone"}
 
 
+def planted_mentions(i):
+    """Base mentions of each kind, the same data written so that no pattern finds it, and numbers that are no personal data."""
+    phone, card = f"+44 20 7{i:03d} {1000 + i}", luhn_number(f"4539{i:03d}88{i:03d}123")
+    ip, mail = f"10.{i % 200}.{(7 * i) % 250}.{17 + i % 200}", f"person{i}@mail{i}.example.org"
+    digits = phone.replace(" ", "").lstrip("+")
+    again = [("phone", digits), ("card", "/".join(card[j:j + 4] for j in range(0, 16, 4))), ("ip", ip.replace(".", "-")),
+             ("email", mail.replace(".", ","))]
+    plain = [f"{48_000_000 + i}", f"2024-0{1 + i % 9}-1{i % 10}", f"{i}.{i % 7}.3", f"1,{100 + i}.50", f"room {i}b"]
+    return [phone, card, ip, mail], again, plain
+
+
+def luhn_number(stem):
+    return next(stem + str(d) for d in range(10) if pii.luhn(stem + str(d)))
+
+
+def test_pii_added_spans_on_planted_data(spark, texts):
+    """Precision and recall of the spans that the field adds to the patterns'."""
+    rows, wanted = [], {}
+    for i, text in enumerate(t for t in texts.values() if t):
+        words, (first, again, plain) = text.split(), planted_mentions(i)
+        kind, second = again[i % 4]
+        third, mixed = len(words) // 3, [w for p in plain for w in (p, "so")]
+        parts = [*words[:third], "reach", first[i % 4], "or", *mixed, *words[third:2 * third], "as said", second, "and", *mixed, *words[2 * third:]]
+        whole = " ".join(parts)
+        rows.append((i, whole))
+        if not any(k == kind and a < whole.index(second) + len(second) and whole.index(second) < b for a, b, k in pii.base_spans(whole)):
+            wanted[i] = kind, whole.index(second), whole.index(second) + len(second)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    added = [(r["doc_id"], s["kind"], s["start"], s["end"]) for r in pii.find(docs, pii.fit(docs)).collect()
+             for s in r["spans"] if s not in r["base"]]
+    right = [a for a in added if wanted.get(a[0]) == a[1:]]
+    assert len(wanted) > 100 and len(right) >= 0.9 * len(wanted) and len(right) >= 0.9 * len(added)
+
+
+def test_pii_sample_counts_a_repeated_row_once(spark):
+    one = [(1, "call +1 (212) 555-0187 or 40 12")] * 500
+    more = [(i, f"call +1 ({200 + i}) 555-0187 or 40 {i}") for i in range(2, 40)]
+    schema = "doc_id bigint, text string"
+    repeated = pii.fit(spark.createDataFrame(one + more, schema), sample=10_000)
+    single = pii.fit(spark.createDataFrame(one[:1] + more, schema), sample=10_000)
+    assert np.allclose(repeated.factors, single.factors) and np.allclose(repeated.weights, single.weights, atol=1e-3)
+
+
 def test_pii_of_odd_rows(odd, none):
     model = pii.fit(odd)
     assert pii.digests(pii.find(odd, model)).count() == len(TEXTS) + 1

@@ -8,7 +8,9 @@ digit or an @, with the labels none, email, ip, card and phone. Its factors:
    and letter case are dropped), which lets evidence at one mention reach the others. Digit groups next
    to each other are one mention, too, so numbers written with spaces are linked group by group.
 The factors are trained piece by piece on the base spans of a bounded sample of documents: the unary
-factor by regression, the other two as smoothed log ratios of label pairs to chance. Marginals come from loopy message passing, in
+factor by regression, the other two as smoothed log ratios of label pairs to chance. Tokens that no pattern finds but
+that are linked with one that a pattern finds are left out of all three, as their label isn't known. So that mentions agree
+where the sample has few that repeat, skip factors start from `CONSISTENCY` pairs of equal labels for each label. Marginals come from loopy message passing, in
 damped rounds over all documents of a batch at once, until no message changes by more than `TOLERANCE`. A round
 works on the messages that can still change, so evidence reaches the last of many mentions without all
 messages being computed again. Where loops keep messages swinging, a message's step is halved whenever it has
@@ -38,6 +40,7 @@ KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
 SAMPLE = 20_000
 TOLERANCE, PATIENCE, DAMPING, SURE = 1e-6, 20, 0.3, 0.95
+CONSISTENCY = 1_000  # pairs of equal labels that skip factors are taken to have seen of each label beforehand
 LONGEST = 19  # digits of a mention of several groups
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -204,8 +207,23 @@ def skips(t: Tokens) -> list[tuple[int, int]]:
     return sorted((a, b) for b, (_, sources) in best.items() for a in sources)
 
 
-def _ratios(pairs: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Log ratio of label pairs to what the labels' own shares would give; all counts plus one."""
+def told(labels: np.ndarray, linked: list[tuple[int, int]]) -> np.ndarray:
+    """Whether the base spans tell each token's label: that no pattern finds a further mention of personal data
+    doesn't make it none, nor the mentions linked with that one."""
+    known, moved = np.ones(len(labels), bool), True
+    while moved:
+        moved = False
+        for a, b in linked:
+            for x, y in ((a, b), (b, a)):
+                if known[x] and not labels[x] and (labels[y] or not known[y]):
+                    known[x], moved = False, True
+    return known
+
+
+def _ratios(pairs: np.ndarray, labels: np.ndarray, same: float = 0.0) -> np.ndarray:
+    """Log ratio of label pairs to what the labels' own shares would give; all counts plus one, and `same` more
+    for each pair of equal labels."""
+    pairs = pairs + same * np.eye(len(pairs))
     joint = (pairs + 1.0) / (pairs + 1.0).sum()
     share = (labels + 1.0) / (labels + 1.0).sum()
     return np.log(joint / np.outer(share, share))
@@ -328,12 +346,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11, id_col: str = "do
                     continue
                 y = gold(t, base_spans(text))
                 x = unary_features(t)
-                for i in range(len(y)):
+                linked = skips(t)
+                known = told(y, linked)
+                for i in np.flatnonzero(known):
                     rows.append(x[i].tolist())
                     labels.append(float(y[i]))
-                    pairs.append(int(y[i - 1] * 5 + y[i]) if i and t.follows[i] else -1)
+                    pairs.append(int(y[i - 1] * 5 + y[i]) if i and t.follows[i] and known[i - 1] else -1)
                     kinds.append(0)
-                for a, b in skips(t):
+                for a, b in linked:
+                    if not (known[a] and known[b]):
+                        continue
                     rows.append(None)
                     labels.append(None)
                     pairs.append(int(y[a] * 5 + y[b]))
@@ -347,7 +369,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11, id_col: str = "do
     total = chosen.count()
     # The share that leaves about `sample` rows; a hash range needs no sort of whole texts.
     bound = min((1 << 63) - 1, int(-(1 << 63) + min(1.0, sample / max(total, 1)) * (1 << 64)))
-    rows = written(chosen.where(F.col("_h") <= bound).select("text").mapInArrow(
+    # A row that repeats teaches once, so that the sample keeps its size however often it does.
+    rows = written(chosen.where(F.col("_h") <= bound).dropDuplicates(["_h"]).select("text").mapInArrow(
         run, "x array<float>, label double, pair int, kind int"), "pii-tokens")
     counts = np.zeros((2, 25))
     for r in rows.where("pair >= 0").groupBy("kind", "pair").count().collect():  # 50 rows at most
@@ -366,7 +389,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11, id_col: str = "do
         weights[:k] = model.coefficientMatrix.toArray()
         bias[:] = -20.0
         bias[:k] = model.interceptVector.toArray()
-    return SkipChain(weights, bias, _ratios(counts[0], labels), _ratios(counts[1], labels))
+    return SkipChain(weights, bias, _ratios(counts[0], labels), _ratios(counts[1], labels, CONSISTENCY))
 
 
 def find(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -164,6 +164,8 @@ def _features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     out[:, 14] = np.log1p(np.bincount(r2, weights=masked >= 3, minlength=n))
     run = np.zeros(len(raw), bool)
     run[2:] = (raw[2:] == raw[1:-1]) & (raw[2:] == raw[:-2]) & ~IS_SPACE[raw[2:]]
+    for place in (0, 1):  # runs end with their text
+        run[at[:-1][at[1:] - at[:-1] > place] + place] = False
     out[:, 15] = _sums(run, at) / size
     same = np.zeros(len(hashes), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
@@ -257,6 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column | None = None, sample
     known = labels.where("doc_id is not null and toxic is not null")
     known = known.where(learns) if learns is not None else known
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = known.join(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
     # At most `sample` rows of (id, label): a proven bound for the broadcast below.
     chosen = known.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")).orderBy("_h", "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id"), "text").join(
