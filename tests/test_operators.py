@@ -248,3 +248,19 @@ def test_file_trees(spark, tmp_path):
     (tmp_path / "part 50000.bin").write_bytes(changed)
     again = {r["file"]: (r["bytes"], r["root"]) for r in tables.file_trees(spark, str(tmp_path), 1000, 3).collect()}
     assert {n for n in got if got[n] != again[n]} == {"part 50000.bin"}
+
+
+def test_a_scan_is_dealt_out_whatever_its_row_groups(spark, tmp_path, monkeypatch):
+    """One row group that many splits share: only one of them has rows."""
+    spark.range(0, 50_000, 1, 1).select("id", F.hash("id").alias("x")).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(tables, "TASK_BYTES", 32 << 10)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        scan = spark.read.parquet(str(tmp_path / "t"))
+        assert scan.rdd.getNumPartitions() > 8
+        sizes = [r["n"] for r in tables.spread(scan).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(sizes) == 50_000 and max(sizes) < 8000
