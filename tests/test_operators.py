@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urlgauge.functions import cards, numbers, urls
+from urlgauge.functions import cards, features, numbers, urls
 from urlgauge.operators import cluster, metrics, prepare, sampling
 from urlgauge.plans import ordered
 from urlgauge.sources import registry, tables
@@ -264,3 +264,17 @@ def test_a_scan_is_dealt_out_whatever_its_row_groups(spark, tmp_path, monkeypatc
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sum(sizes) == 50_000 and max(sizes) < 8000
+
+
+def test_url_work_runs_compiled(spark):
+    """Methods that HotSpot would only interpret are left to the operators; a limit that a user set stays."""
+    limit, df = "spark.sql.codegen.hugeMethodLimit", spark.range(1).selectExpr("concat('http://a.com/', id) as url")
+    spark.conf.unset(limit)
+    features.with_features(df)
+    assert int(spark.conf.get(limit)) == 8000
+    spark.conf.set(limit, 60000)
+    try:
+        features.with_features(df)
+        assert int(spark.conf.get(limit)) == 60000
+    finally:
+        spark.conf.unset(limit)
