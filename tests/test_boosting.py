@@ -48,6 +48,17 @@ def plain_steps(g, h, n, least, penalty):
     return best[0], steps
 
 
+def test_cuts_are_exact_quantiles(spark):
+    """Also beyond the rows at which a sketch begins to approximate; null and NaN are no values."""
+    rng = np.random.default_rng(4)
+    x = [rng.permutation(120_000).astype(float), rng.integers(0, 5, 120_000).astype(float), np.zeros(120_000)]
+    x[1][:3], rows = np.nan, 120_000
+    df = spark.createDataFrame(pd.DataFrame(dict(zip(NAMES, x)))).repartition(5)
+    cuts = boosting.thresholds(df.unionByName(df.limit(1).withColumns({n: F.lit(None).cast("double") for n in NAMES})), NAMES, 128)
+    assert cuts["a"] == [-(-i * rows // 128) - 1.0 for i in range(1, 128)]
+    assert cuts["b"] == [0.0, 1.0, 2.0, 3.0] and cuts["c"] == []
+
+
 def test_steps_are_the_best(spark):
     rng = np.random.default_rng(2)
     for _ in range(30):
