@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import pathlib
 import random
 
 import numpy as np
@@ -278,3 +279,26 @@ def test_url_work_runs_compiled(spark):
         assert int(spark.conf.get(limit)) == 60000
     finally:
         spark.conf.unset(limit)
+
+
+def test_eligible_rows_shuffle_bytes_not_digits(spark):
+    keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(3)]
+    rows = spark.createDataFrame([(1, keys[0], 0, ""), (2, keys[0], 1, ""), (3, keys[1], 1, ""), (4, keys[1], 1, ""),
+                                  (5, keys[2], 0, ""), (6, "", 0, "empty_url"), (7, "", 1, "empty_url")],
+                                 "source_row int, url_key string, label int, reason string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = prepare.eligible(rows)
+        plan = found.select("source_row")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(packed_key" in plan and "hashpartitioning(url_key" not in plan
+    assert sorted(r["source_row"] for r in found.collect()) == [3, 4, 5]
+    assert [r["url_key"] for r in prepare.conflicting_keys(rows).collect()] == keys[:1]
+
+
+def test_written_intermediates_pack_digests(spark):
+    """Digests as hex text take about half of their digits on disk."""
+    made = ordered.cut(spark.range(0, 20_000, 1, 1).selectExpr("sha2(cast(id as string), 256) as digest"))
+    size = sum(pathlib.Path(f.removeprefix("file://")).stat().st_size for f in made.inputFiles())
+    assert made.count() == 20_000 and size < 20_000 * 45
