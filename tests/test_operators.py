@@ -281,6 +281,21 @@ def test_url_work_runs_compiled(spark):
         spark.conf.unset(limit)
 
 
+def test_an_outcome_sample_sorts_nothing(spark):
+    """Also without some outcomes; the same rows as ranking all of them gives."""
+    rows = spark.range(4000).selectExpr("id as row", "cast(id % 3 = 0 as int) as label", "case when id % 2 = 0 then 0.9 else 0.1 end as probability")
+    found = sampling.outcome_sample(rows, "row", 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan and "Sort " not in plan
+    best = {}
+    for i in range(4000):
+        said = ("T" if (i % 3 == 0) == (i % 2 == 0) else "F") + ("P" if i % 2 == 0 else "N")
+        best.setdefault(said, []).append((hashlib.sha256(f"42|{i}".encode()).hexdigest(), i))
+    want = sorted((n, i) for n, all_rows in best.items() for _, i in sorted(all_rows)[:3])
+    assert sorted((r["outcome"], r["row"]) for r in found.collect()) == want
+    assert {r["outcome"] for r in sampling.outcome_sample(rows.where("row % 2 = 0"), "row", 3).collect()} == {"TP", "FP"}
+
+
 def test_eligible_rows_shuffle_bytes_not_digits(spark):
     keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(3)]
     rows = spark.createDataFrame([(1, keys[0], 0, ""), (2, keys[0], 1, ""), (3, keys[1], 1, ""), (4, keys[1], 1, ""),
