@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from urlgauge.catalog import learning_queries
 from urlgauge.functions import cards, features, numbers, urls
 from urlgauge.operators import cluster, metrics, prepare, sampling
 from urlgauge.plans import ordered
@@ -317,3 +318,8 @@ def test_written_intermediates_pack_digests(spark):
     made = ordered.cut(spark.range(0, 20_000, 1, 1).selectExpr("sha2(cast(id as string), 256) as digest"))
     size = sum(pathlib.Path(f.removeprefix("file://")).stat().st_size for f in made.inputFiles())
     assert made.count() == 20_000 and size < 20_000 * 45
+
+
+def test_the_featured_table_is_not_packed_tightly(spark, sf_dir):
+    """Tasks are cut by bytes on disk: tightly packed rows would make the learners' tasks larger in memory."""
+    assert all(f.endswith(".snappy.parquet") for f in learning_queries.table(spark, sf_dir).inputFiles())
