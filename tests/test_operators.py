@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from urlgauge.catalog import learning_queries
 from urlgauge.functions import cards, features, numbers, urls
-from urlgauge.operators import cluster, metrics, prepare, sampling
+from urlgauge.operators import cluster, explain, metrics, prepare, sampling
 from urlgauge.plans import ordered
 from urlgauge.sources import registry, tables
 
@@ -323,3 +323,21 @@ def test_written_intermediates_pack_digests(spark):
 def test_the_featured_table_is_not_packed_tightly(spark, sf_dir):
     """Tasks are cut by bytes on disk: tightly packed rows would make the learners' tasks larger in memory."""
     assert all(f.endswith(".snappy.parquet") for f in learning_queries.table(spark, sf_dir).inputFiles())
+
+
+def test_contributions_sort_only_what_they_return(spark):
+    """Titles, display values and directions of every term were built and sorted for rows that don't return them."""
+    rows = spark.createDataFrame([(1, 30, 0.25), (2, 7, float("nan")), (3, None, float("inf")), (4, 1 << 30, 1e-7)],
+                                 "i int, url_length int, entropy double")
+    model = explain.Additive(["url_length", "entropy"], {"url_length": [10.0], "entropy": [0.5]}, [
+        (("url_length",), np.array([-1.0, 2.0])), (("url_length", "entropy"), np.array([[0.5, 1.5], [-3.0, 0.25]]))], 0.0)
+    found = explain.contributions(rows, model, ["i"])
+    assert "Raises" not in found._jdf.queryExecution().analyzed().toString()
+    whole = explain.explained(rows, model).select("i", F.posexplode("contributions").alias("p", "e")).select(
+        "i", "e.term", F.col("p") + 1, "e.contribution", F.lit(0.0), "e.feature_values")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        map(tuple, whole.collect()), key=str)
+    told = rows.select(*[cards.value_cell(names).alias(str(i)) for i, names in enumerate((["url_length"], ["url_length", "entropy"]))],
+                       *[F.to_json(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col(n).cast("double") for n in names])))
+                         for names in (["url_length"], ["url_length", "entropy"])]).collect()
+    assert all(r[0] == r[2] and r[1] == r[3] for r in told)
