@@ -238,3 +238,20 @@ def test_one_class_or_one_value_still_fits(spark):
     assert all(not c for c in cuts.values()) and fit.pairs == [] and np.isfinite(fit.base)
     trees = boosting.fit_trees(rows, rows, NAMES, TreeSettings(rounds=3, patience=2))
     assert all(len(t.left) == 1 for t in trees.trees) and np.isfinite(trees.losses).all()
+
+
+def test_cells_are_found_by_column_functions_only(spark):
+    """The model's arrays were joined to every row before, and copied with it by each operator."""
+    rows = spark.createDataFrame([(1, 0.5, 2.0), (None, None, 1.0), (9, float("nan"), 1.0), (-3, 0.1, 4.0)], "a int, b double, weight double")
+    model = explain.Additive(["a", "b"], {"a": [0.5, 2.5], "b": [0.2, 0.5, 0.7]}, [
+        (("a",), np.array([-1.0, 2.0, 3.0])), (("b",), np.arange(4.0)), (("a", "b"), np.arange(12.0).reshape(3, 4))], 0.0)
+    terms = explain.with_terms(rows, model)
+    assert "Join" not in terms._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r)[3:] for r in terms.collect()] == [(2.0, 1.0, 5.0), (-1.0, 0.0, 0.0), (3.0, 3.0, 11.0), (-1.0, 0.0, 0.0)]
+    totals = {(r["index"], r["cell"]): (r["rows"], r["weight"]) for r in explain.cell_totals(rows, model, "weight").collect()}
+    assert totals == {(0, 0): (2, 5.0), (0, 1): (1, 2.0), (0, 2): (1, 1.0), (1, 0): (2, 5.0), (1, 1): (1, 2.0), (1, 3): (1, 1.0),
+                      (2, 0): (2, 5.0), (2, 5): (1, 2.0), (2, 11): (1, 1.0)}
+    means = {r["term"]: r["importance"] for r in explain.term_importance(rows, model).collect()}
+    assert means == {"a": (2 * 2 + 3 + 5) / 8, "b": (2 + 3) / 8, "a & b": (2 * 5 + 11) / 8}
+    assert explain.centred(model, rows).base == pytest.approx((2 * 2 + 3 - 5) / 8 + 5 / 8 + 21 / 8)
+    assert [r["rows"] for r in explain.shape_rows(rows.limit(0), model).collect()] == [0] * 19
