@@ -5,12 +5,15 @@ import math
 from collections import Counter
 from urllib.parse import urlsplit
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from urlgauge import constants as K
-from urlgauge.functions import features, hosts, urls
+from urlgauge.catalog import learning_queries
+from urlgauge.functions import chars, features, hosts, urls
+from urlgauge.operators import explain
 
 
 def compute(spark, addresses):
@@ -231,3 +234,16 @@ def test_no_host_is_an_error(spark):
 def test_groups_scan_once(spark, sf_dir):
     df = hosts.url_group(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules=RULES)
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_older_record_searches_for_parts(spark):
+    """Three patterns per URL told whether it is usable before; the searches must tell the same of odd URLs."""
+    rng = np.random.default_rng(5)
+    bits = ["http", "://", ":", "/", "?", "#", "@", "[", "]", "a.com", "1.2.3.4", ":80", ":99999", "::1", " ", "\t", "\n", "é", "%41", "x", "０", "／", "", " "]
+    odd = ["".join(rng.choice(bits, rng.integers(0, 9))) for _ in range(3000)] + [None, "", "http://a.com:8\n0/", "http://[::1/"]
+    df = urls.with_parts(spark.createDataFrame([(u,) for u in odd], "url string").withColumn("u", urls.strip(F.col("url"))), "u", "_v_")
+    searched = (F.col("_v_host") != "") & ~urls.bad_authority("_v_")
+    trimmed = F.btrim("url", F.lit(chars.whitespace()))
+    assert df.where(~F.col("u").eqNullSafe(trimmed) | ~searched.eqNullSafe(urls.usable(trimmed))).count() == 0
+    plan = explain.score_urls_older(df.select("url"), learning_queries.fixed_fit(spark, "full"))._jdf.queryExecution().analyzed().toString()
+    assert urls.PART_PATTERNS["host"] not in plan
