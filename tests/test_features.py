@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from urlgauge import constants as K
 from urlgauge.catalog import learning_queries
 from urlgauge.functions import chars, features, hosts, urls
-from urlgauge.operators import explain
+from urlgauge.operators import explain, split
 
 
 def compute(spark, addresses):
@@ -247,3 +247,27 @@ def test_older_record_searches_for_parts(spark):
     assert df.where(~F.col("u").eqNullSafe(trimmed) | ~searched.eqNullSafe(urls.usable(trimmed))).count() == 0
     plan = explain.score_urls_older(df.select("url"), learning_queries.fixed_fit(spark, "full"))._jdf.queryExecution().analyzed().toString()
     assert urls.PART_PATTERNS["host"] not in plan
+
+
+def test_urls_are_parsed_once_for_checks_features_and_groups(spark):
+    """A score record parsed its URL twice, and a group parsed what features had; odd URLs still have the same groups."""
+    rng = np.random.default_rng(7)
+    bits = ["http", "://", ":", "/", "?", "@", "[", "]", "a.com", "1.2.3.4", ":80", ":x", "::1", "\t", "\n", "b.co.uk", "%41", "０", "."]
+    odd = ["http://a" + "".join(rng.choice(bits, rng.integers(0, 7))) for _ in range(1500)] + ["http://a\t.com/", "b.example.com:99999/"]
+    df = spark.createDataFrame([(u,) for u in odd], "url string")
+    hosted = urls.host_of(urls.hostport(urls.strip(F.col("url"))))
+    found = df.withColumn("h", hosted).toPandas()
+    df = spark.createDataFrame([(u,) for u in found.url[found.h != ""]], "url string")
+    rows = features.with_features(df, keep_parts=True)
+    both = [split.assign(rows, rules=["com", "co.uk"], host=h).select("url", "domain_group", "split").toPandas() for h in ("host", None)]
+    assert both[0].equals(both[1]) and len(both[0]) > 1000
+    plan = explain.score_urls(df, learning_queries.FIXED)._jdf.queryExecution().analyzed().toString()
+    assert plan.count(" AS _v_hostport#") == 1 and " AS _hostport#" not in plan
+
+
+def test_filters_on_scores_do_not_copy_them(spark):
+    """A filter on validity took the score function and all features along, once per term, and the plan outgrew the memory."""
+    df = spark.createDataFrame([("http://a.com/",), ("",)], "url string")
+    kept = explain.score_urls(df, learning_queries.FIXED).where("valid").select("url", "trust_score")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("look(") == 1 and kept.count() == 1
