@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from urlgauge import constants as K
 from urlgauge.catalog import learning_queries
-from urlgauge.functions import chars, features, hosts, urls
+from urlgauge.functions import chars, features, hosts, plain, urls
 from urlgauge.operators import explain, split
 
 
@@ -271,3 +271,36 @@ def test_filters_on_scores_do_not_copy_them(spark):
     kept = explain.score_urls(df, learning_queries.FIXED).where("valid").select("url", "trust_score")
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("look(") == 1 and kept.count() == 1
+
+
+def test_plain_urls_are_found_at_once(spark, monkeypatch):
+    """Every URL went through all expressions, most of them for nothing; now they see a null in place of a plain one."""
+    rng = np.random.default_rng(11)
+    bits = ["http", "HTTPS", "://", ":", "/", "//", "?", "#", "@", "[", "]", ".", "-", "a.com", "paypal", "APPLE", "1.2.3.4", "01.2.3.4",
+            ":80", ":99999", "::1", " ", "\t", "\x1f", "é", "%41", "xn--", "XN--", "0o1l", "OL", "bit.ly", ".xyz", "\x7f"]
+    odd = ["http://" * (i % 2) + "".join(rng.choice(bits, rng.integers(0, 9))) for i in range(4000)] + [None, "", " http://a.com/ "]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(odd)], "i int, url string")
+    found = features.with_features(df, keep_parts=True).drop("spelled").orderBy("i").toPandas()
+    plain_ones = df.select(plain.measured(df, "url")["plain"]).toPandas().iloc[:, 0].sum()
+    # Without plain URLs every one goes by the expressions.
+    counted = plain.measured(df, "url")
+    none = F.struct(F.lit(0).alias("plain"), F.lit("").alias("host"), F.lit("").alias("spelled"), *[counted[n].alias(n) for n in plain.NAMES[1:]])
+    monkeypatch.setattr(plain, "measured", lambda *_: none)
+    assert found.equals(features.with_features(df, keep_parts=True).drop("spelled").orderBy("i").toPandas()) and plain_ones > 500
+
+
+def test_names_are_spelled_with_the_features(spark):
+    """Groups sent all rows through a second function, for the few names that go beyond ASCII."""
+    df = spark.createDataFrame([(u,) for u in ("http://bücher.example/", "http://b%C3%BCcher.example/%41", "http://a.com/é", "http://Ａ.com/")], "url string")
+    rows = features.with_features(df, keep_parts=True)
+    own = split.assign(rows, rules=["com", "example"], host="host", spelling="spelled").drop("host", "spelled")
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_with_hosts(") == 1 and "spelled(" not in plan
+    assert sorted(own.toPandas().domain_group) == sorted(hosts.url_group(df, rules=["com", "example"]).toPandas().domain_group)
+
+
+def test_split_by_digits(spark):
+    """A number, a decimal and a double were made of every hash; its digits compare in the same order."""
+    for share in (K.TRAIN_BELOW, K.VALIDATION_BELOW):
+        first = int(hosts._first_from(share), 16)
+        assert first / 2.0 ** 64 >= share > (first - 1) / 2.0 ** 64
