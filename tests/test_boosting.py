@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from urlgauge.catalog import learning_queries
 from urlgauge.operators import boosting, ensembles, explain, models
 from urlgauge.operators.boosting import Tree, TreeSettings
 
@@ -255,3 +256,29 @@ def test_cells_are_found_by_column_functions_only(spark):
     assert means == {"a": (2 * 2 + 3 + 5) / 8, "b": (2 + 3) / 8, "a & b": (2 * 5 + 11) / 8}
     assert explain.centred(model, rows).base == pytest.approx((2 * 2 + 3 - 5) / 8 + 5 / 8 + 21 / 8)
     assert [r["rows"] for r in explain.shape_rows(rows.limit(0), model).collect()] == [0] * 19
+
+
+def test_models_with_the_same_inputs_share_their_vector(spark, sf_dir):
+    """An assembler made a row's vector anew for every model."""
+    fits = [learning_queries.fixed_fit(spark, n) for n in ("full", "without_https", "hyphens")]
+    rows = learning_queries.url_rows(spark, sf_dir).limit(500)
+    scored = models.score_all(fits, rows, ["l_orderkey"])
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("UDF(struct(") == 1
+    alone = [models.score(f, rows, ["l_orderkey"]) for f in fits]
+    assert sorted(map(tuple, scored.collect())) == sorted(tuple(r) for a in alone for r in a.collect())
+
+
+def test_a_round_trip_shuffles_no_rows(spark, sf_dir):
+    """Scores of a row were long rows, grouped by five columns again, once per model."""
+    plan = learning_queries.a09(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" not in plan and plan.count("FileScan") == 1
+
+
+def test_learners_read_written_vectors(spark):
+    rows = spark.createDataFrame([(0, 1.0, 3, 0.5), (1, 2.0, 0, 0.0)], "label int, weight double, a int, b double")
+    held = models._vectors(rows, ["a", "b"])
+    assert "FileScan" in held._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r["inputs"].toArray()) for r in held.collect()) == [(0.0, 0.0), (3.0, 0.5)]
+    for odd in (None, float("nan")):
+        with pytest.raises(Exception, match="missing"):
+            models._vectors(rows.withColumn("b", F.lit(odd).cast("double")), ["a", "b"])
