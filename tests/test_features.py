@@ -304,3 +304,10 @@ def test_split_by_digits(spark):
     for share in (K.TRAIN_BELOW, K.VALIDATION_BELOW):
         first = int(hosts._first_from(share), 16)
         assert first / 2.0 ** 64 >= share > (first - 1) / 2.0 ** 64
+
+
+def test_filters_on_features_do_not_copy_them(spark):
+    """A filter on all features took their expressions down with it, each copied into the next, until the memory ran out."""
+    rows = features.with_features(spark.createDataFrame([("http://a.com/",), ("",)], "url string"))
+    kept = rows.withColumn("ok", features.finite()).where("ok")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("_alone(") == 1 and kept.count() == 1

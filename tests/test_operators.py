@@ -341,3 +341,29 @@ def test_contributions_sort_only_what_they_return(spark):
                        *[F.to_json(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col(n).cast("double") for n in names])))
                          for names in (["url_length"], ["url_length", "entropy"])]).collect()
     assert all(r[0] == r[2] and r[1] == r[3] for r in told)
+
+
+def test_numbers_as_text_without_a_formatter(spark):
+    """Texts put together from whole numbers are those of the formatter and of floating numbers."""
+    rng = np.random.default_rng(3)
+    values = [0.0, -0.0, 0.00005, 0.99995, 2.5, 999_999.99995, 1e6, 1e12, -1.25, float("nan"), float("inf"), None, *rng.random(3000).tolist(),
+              *(rng.random(1000) * 1e6).tolist(), *(rng.integers(0, 20001, 3000) / 20000).tolist()]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (1, 4):
+        old = F.format_string(f"%.{digits}f", numbers.exact_round(F.col("v"), digits))
+        assert rows.where(~numbers.fixed_text(F.col("v"), digits).eqNullSafe(old)).count() == 0
+    counts = spark.createDataFrame([(v,) for v in (0, 7, 9_999_999, 10_000_000, 2_000_000_000, -3, None)], "url_length int")
+    told = [r[0] for r in counts.select(cards.value_cell(["url_length"])).collect()]
+    assert told == ['{"url_length":%s}' % t for t in ("0.0", "7.0", "9999999.0", "1.0E7", "2.0E9", "-3.0", "null")]
+
+
+def test_contributions_are_ordered_without_sorting_structs(spark):
+    df = spark.createDataFrame([("http://a.com/x-1",), ("https://bücher.example/" + "z" * 50,), ("",)], "url string")
+    rows = explain.score_urls(df, learning_queries.FIXED)
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "sort_array(array(struct(o" not in plan
+    for r in rows.where("valid").collect():
+        sizes = [-abs(c["contribution"]) for c in r["model_contributions"]]
+        assert sizes == sorted(sizes) and len(sizes) == len(learning_queries.FIXED.terms)
+        ties = [(s, [learning_queries.FIXED.name(i) for i in range(len(sizes))].index(c["term"])) for s, c in zip(sizes, r["model_contributions"])]
+        assert ties == sorted(ties)
