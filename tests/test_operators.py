@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urlgauge.catalog import learning_queries
+from urlgauge.catalog import inputs, learning_queries
 from urlgauge.functions import cards, features, numbers, urls
 from urlgauge.operators import cluster, explain, metrics, prepare, sampling
 from urlgauge.plans import ordered
@@ -367,3 +367,9 @@ def test_contributions_are_ordered_without_sorting_structs(spark):
         assert sizes == sorted(sizes) and len(sizes) == len(learning_queries.FIXED.terms)
         ties = [(s, [learning_queries.FIXED.name(i) for i in range(len(sizes))].index(c["term"])) for s, c in zip(sizes, r["model_contributions"])]
         assert ties == sorted(ties)
+
+
+def test_distinct_urls_are_dealt_out(spark, sf_dir):
+    """Adaptive execution joined the distinct URLs into few tasks by their bytes, and most threads waited for the last ones."""
+    rows = inputs.every_url(spark, sf_dir)
+    assert rows.rdd.getNumPartitions() >= 32 and rows.count() == rows.distinct().count()
